@@ -55,7 +55,8 @@ def category_key(c: Column) -> Column:
     """The category a value means: case, outer marks and the kind of word joint don't count; blank is null."""
     parts = F.regexp_replace(F.lower(F.regexp_replace(c, INVISIBLE, "")), "[^\\p{L}\\p{N}.]+", "_")
     plain = F.regexp_replace(parts, "^[_.]+|[_.]+$", "")
-    return F.when(c.isNull() | c.rlike("^[a-z0-9]+(_[a-z0-9]+)*$"), c).otherwise(F.nullif(plain, F.lit("")))
+    number = f"^{SPACE}*[-+]?[0-9]+([.][0-9]+)?{SPACE}*$"
+    return F.when(c.isNull() | c.rlike("^[a-z0-9]+(_[a-z0-9]+)*$"), c).when(c.rlike(number), squeeze(c)).otherwise(F.nullif(plain, F.lit("")))
 
 
 def path_key(c: Column) -> Column:
