@@ -51,8 +51,9 @@ LABELS = {
     "uk": ("uk", "ukr", "ukrainian", "українська"),
 }
 _OF_LABEL = {name: lang for lang, names in LABELS.items() for name in names}
-_QUOTED = re.compile(r"[“„«\"][^“”„«»\"\n]{0,200}[”“»\"]")
-_SENTENCE = re.compile(r"(?<=[.!?…;])\s+|\n\s*\n|(?<=[.!?…;])(?=[^\W\d_]{2})")
+#: A quoted title: a few words without the end of a sentence.
+_QUOTED = re.compile(r"[“„«\"](?:[^“”„«»\".!?…\s]+\s+){0,5}[^“”„«»\".!?…\s]+[”“»\"]")
+_SENTENCE = re.compile(r"(?<=[.!?…;])[”“»\"'’]*\s+|\n\s*\n|(?<=[.!?…;])(?=[^\W\d_]{2})")
 _WORD = re.compile(r"[^\W\d_]+")
 
 

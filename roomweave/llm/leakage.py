@@ -41,8 +41,9 @@ HASHES = 48
 SHARED = 2
 #: Exact containment of a unit's shingles in the window from which on words are compared in order.
 CONTAINMENT = 0.2
-#: The share of a unit's words that must stand in the window in the same order.
+#: The share of a unit's words that must stand in the same order where shared shingles put the unit, give or take SLACK words.
 IN_ORDER = 0.8
+SLACK = 10
 SHORTEST = 6
 FORMULA_SHARE, FORMULA_LEAST = 0.005, 5
 BLOCK = 5_000
@@ -101,10 +102,11 @@ class Searcher:
     def __init__(self, units: list[Unit]):
         self.units = units
         self.a, self.b = _factors()
-        self.at: dict[int, list[int]] = {}  # shingle to the units that hold it
+        self.at: dict[int, list[tuple[int, int]]] = {}  # shingle to the units that hold it, and where
         for i, u in enumerate(units):
-            for s in u.shingles:
-                self.at.setdefault(s, []).append(i)
+            places = shingles(np.array([_number(w) for w in u.words], np.uint64)).tolist()
+            for place, s in enumerate(places):
+                self.at.setdefault(s, []).append((i, place))
         self.parts: dict[int, list[int]] = {}
         for i, u in enumerate(units):
             self.parts.setdefault(max(8, 1 << (len(u.shingles) - 1).bit_length()), []).append(i)
@@ -196,17 +198,21 @@ class Searcher:
 
     def _verify(self, text: tuple[int, list[str], np.ndarray], begin: int, width: int, mine: set[int], seen: set, k: int) -> Iterator[tuple[int, int, float, int]]:
         place, words, names = text
-        count: dict[int, int] = {}
-        for name in set(names[begin : begin + width].tolist()):
-            for u in self.at.get(name, ()):
+        shared: dict[int, dict[int, int]] = {}  # per unit, its shingles in the window and where they would put its start
+        for at, name in enumerate(names[begin : begin + width].tolist(), begin):
+            for u, offset in self.at.get(name, ()):
                 if u in mine:
-                    count[u] = count.get(u, 0) + 1
-        for u, n in count.items():
+                    shared.setdefault(u, {})[name] = at - offset
+        for u, starts in shared.items():
             unit = self.units[u]
-            held = n / len(unit.shingles)
+            held = len(starts) / len(unit.shingles)
             if held < CONTAINMENT or (k, u) in seen:
                 continue
-            share = 1.0 if held == 1 else in_order(unit.words, words[max(0, begin - SHINGLE) : begin + width + 2 * SHINGLE])
+            n, share, tried = len(unit.words), 0.0, -SLACK
+            for start in sorted(set(starts.values())):
+                if start - tried >= SLACK // 2 and share < IN_ORDER:
+                    tried = start
+                    share = in_order(unit.words, words[max(0, start - SLACK) : start + n + SLACK])
             if share >= IN_ORDER:
                 seen.add((k, u))
                 yield place, u, share, xxhash.xxh64_intdigest(" ".join(words)) >> 1

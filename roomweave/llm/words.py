@@ -10,12 +10,15 @@ PLAIN_LETTERS = {"ł": "l", "ø": "o", "đ": "d", "ß": "ss", "æ": "ae", "œ":
 _TABLE = str.maketrans(PLAIN_LETTERS)
 _MARKS = re.compile("[̀-ͯ­​-‏⁠-⁤︀-️﻿‪-‮]+")
 #: An inserted interruption: bracketed, on a line of its own or not, or between dashes.
-_INTERRUPTION = re.compile(r"\([^()\n]{0,120}\)|\[[^\[\]\n]{0,120}\]|\s[—–]\s[^—–\n]{1,80}?[!?.]\s[—–](?=\s)")
+_INTERRUPTION = re.compile(r"\s*\([^()\n]{0,120}\)\s*|\s*\[[^\[\]\n]{0,120}\]\s*|\s[—–]\s[^—–\n]{1,80}?[!?.]\s[—–](?=\s)")
+#: A word broken at the end of a line.
+_BROKEN = re.compile(r"(?<=[^\W\d_])[-‐­]\s*\n\s*(?=[^\W\d_])")
 WORD = re.compile(r"[^\W_]+")
 
 
 def without_interruptions(text: str) -> str:
-    return _INTERRUPTION.sub(" ", text)
+    """Without inserted interruptions and line-end hyphens."""
+    return _BROKEN.sub("", _INTERRUPTION.sub(" ", text))
 
 
 def fold(text: str) -> str:
