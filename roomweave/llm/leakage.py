@@ -178,20 +178,17 @@ class Searcher:
             minima.append(v)
         seen: set[tuple[int, int]] = set()
         for m, table in self.tables.items():
-            across, stride = 2 * m // step, m // step
-            hits = np.zeros(blocks, np.int16)
-            # windows start at every stride-th block of a text; those at its end are cut off by the owner
-            starts = np.flatnonzero((np.arange(blocks) - start[of]) % stride == 0)
-            ends = np.minimum(starts + across, np.append(start, blocks)[of[starts] + 1])
+            # a window is two groups of m shingles of one text, or the last group alone
+            starts = np.flatnonzero((np.arange(blocks) - start[of]) % (m // step) == 0)
+            alone = np.append(of[starts[1:]] != of[starts[:-1]], True)
+            hits = np.zeros(len(starts), np.int16)
             for v, values in zip(minima, table, strict=True):
-                w = v[starts].copy()
-                for k in range(1, across):
-                    inside = starts + k < ends
-                    w[inside] = np.minimum(w[inside], v[starts[inside] + k])
+                w = np.minimum.reduceat(v, starts)
+                w = np.where(alone, w, np.minimum(w, np.append(w[1:], w[-1])))
                 at = np.minimum(np.searchsorted(values, w), len(values) - 1)
-                hits[starts] += values[at] == w
+                hits += values[at] == w
             mine = set(self.parts[m])
-            for s in starts[hits[starts] >= SHARED]:
+            for s in starts[hits >= SHARED]:
                 k = int(of[s])
                 begin = (int(s) - first[k]) * step
                 yield from self._verify(held[k], begin, 2 * m, mine, seen, k)

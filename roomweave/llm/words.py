@@ -7,12 +7,12 @@ import unicodedata
 
 #: Letters that Unicode does not decompose into a base letter and a mark.
 PLAIN_LETTERS = {"ł": "l", "ø": "o", "đ": "d", "ß": "ss", "æ": "ae", "œ": "oe", "ı": "i", "’": "'", "ʼ": "'", "`": "'"}
-_TABLE = str.maketrans(PLAIN_LETTERS)
 _MARKS = re.compile("[̀-ͯ­​-‏⁠-⁤︀-️﻿‪-‮]+")
-#: An inserted interruption: bracketed, on a line of its own or not, or between dashes.
-_INTERRUPTION = re.compile(r"\s*\([^()\n]{0,120}\)\s*|\s*\[[^\[\]\n]{0,120}\]\s*|\s[—–]\s[^—–\n]{1,80}?[!?.]\s[—–](?=\s)")
+#: An inserted interruption: bracketed, on a line of its own or not, or between dashes. Each form begins with its own sign,
+#: so that the search skips from sign to sign.
+_INTERRUPTION = re.compile(r"\([^()\n]{0,120}\)\s*|\[[^\[\]\n]{0,120}\]\s*|[—–](?<=\s.)\s[^—–\n]{1,80}?[!?.]\s[—–](?=\s)")
 #: A word broken at the end of a line.
-_BROKEN = re.compile(r"(?<=[^\W\d_])[-‐­]\s*\n\s*(?=[^\W\d_])")
+_BROKEN = re.compile(r"[-‐­](?<=[^\W\d_].)\s*\n\s*(?=[^\W\d_])")
 WORD = re.compile(r"[^\W_]+")
 
 
@@ -25,7 +25,10 @@ def fold(text: str) -> str:
     """Lower case without accents, marks and invisible characters; wide and other variant forms made plain."""
     if text.isascii():
         return text.lower()
-    return _MARKS.sub("", unicodedata.normalize("NFKD", text)).lower().translate(_TABLE)
+    plain = _MARKS.sub("", unicodedata.normalize("NFKD", text)).lower()
+    for letter, base in PLAIN_LETTERS.items():
+        plain = plain.replace(letter, base)
+    return plain
 
 
 def words(text: str) -> list[str]:
