@@ -139,7 +139,7 @@ def in_polygon(x: Column, y: Column, polygon: Column) -> Column:
 
     def crossed(i: Column) -> Column:
         a, b = polygon[i], polygon[F.when(i == 0, F.size(polygon) - 1).otherwise(i - 1)]
-        return ((a[1] > y) != (b[1] > y)) & (x < (b[0] - a[0]) * (y - a[1]) / (b[1] - a[1] + 1e-12) + a[0])
+        return ((F.get(a, F.lit(1)) > y) != (F.get(b, F.lit(1)) > y)) & (x < (F.get(b, F.lit(0)) - F.get(a, F.lit(0))) * (y - F.get(a, F.lit(1))) / (F.get(b, F.lit(1)) - F.get(a, F.lit(1)) + 1e-12) + F.get(a, F.lit(0)))
 
     odd = F.aggregate(F.sequence(F.lit(0), F.size(polygon) - 1), F.lit(False), lambda acc, i: acc != F.coalesce(crossed(i), F.lit(False)))
     return F.when(F.coalesce(F.size(polygon), F.lit(0)) >= 3, odd).otherwise(False)
@@ -150,7 +150,7 @@ def polygon_area(polygon: Column) -> Column:
 
     def term(i: Column) -> Column:
         a, b = polygon[i], polygon[F.when(i == F.size(polygon) - 1, 0).otherwise(i + 1)]
-        return a[0] * b[1] - b[0] * a[1]
+        return F.get(a, F.lit(0)) * F.get(b, F.lit(1)) - F.get(b, F.lit(0)) * F.get(a, F.lit(1))
 
     total = F.aggregate(F.sequence(F.lit(0), F.size(polygon) - 1), F.lit(0.0), lambda acc, i: acc + term(i))
     return F.when(F.coalesce(F.size(polygon), F.lit(0)) >= 3, F.abs(total) / 2).otherwise(0.0)
@@ -169,13 +169,13 @@ def boundary_distance(x: Column, y: Column, polygon: Column) -> Column:
 
     def one(i: Column) -> Column:
         a, b = polygon[i], polygon[F.when(i == F.size(polygon) - 1, 0).otherwise(i + 1)]
-        return segment_distance(x, y, a[0], a[1], b[0], b[1])
+        return segment_distance(x, y, *(F.get(p, F.lit(k)) for p in (a, b) for k in (0, 1)))
 
     return F.when(F.coalesce(F.size(polygon), F.lit(0)) >= 3, F.array_min(F.transform(F.sequence(F.lit(0), F.size(polygon) - 1), one))).otherwise(float("inf"))
 
 
 def vertex_mean(polygon: Column, axis: int) -> Column:
-    return F.aggregate(polygon, F.lit(0.0), lambda acc, p: acc + p[axis]) / F.size(polygon)
+    return F.aggregate(polygon, F.lit(0.0), lambda acc, p: acc + F.get(p, F.lit(axis))) / F.size(polygon)
 
 
 # -- cameras -----------------------------------------------------------------------------------------------------------

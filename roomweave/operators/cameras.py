@@ -102,28 +102,32 @@ def accepted(pattern: str, items: DataFrame, boxes: DataFrame, rooms: DataFrame,
     looks = poses.select(*key, "step", *POSE, F.posexplode("targets").alias("place", "o")).select(*key, "step", *POSE, "place", F.col("o.id").alias("id"), *(F.col(f"o.{a}{n}").alias(f"{a}{n}") for a in "xyz" for n in (0, 1)))
     shown = visibility.in_fov(looks, cfg, center=not line, border=0 if line else 5)
     each = [*key, "step", "place"]
+    needed = F.size("targets") * (cfg.linear_num_steps if line else 1)
+    # Only attempts that show all targets at all steps go on to the tests against other boxes.
+    full = lambda d: poses.select(*key, needed.alias("needed")).distinct().join(d.groupBy(key).agg(F.count(F.lit(1)).alias("good")), key).where(F.col("good") == F.col("needed")).select(key)
+    shown = durable(shown.join(full(shown), key, "left_semi"))
     if not line and not cfg.skip_occlusion_check:
         clear = visibility.unhidden_corners(shown, occluders, [*each, "id"], cfg).where(F.col("corners") >= cfg.min_visible_corners)
         shown = shown.join(clear.select(each), each, "left_semi")
     elif cfg.check_wall_occlusion:
         hidden = visibility.occlusion(shown, occluders, [*each, "id"], walls_only=True, threshold=0.7 if line else 0.5).where("occluded")
         shown = shown.join(hidden.select(each), each, "left_anti")
-    needed = F.size("targets") * (cfg.linear_num_steps if line else 1)
-    good = shown.groupBy(key).agg(F.count(F.lit(1)).alias("good"))
-    return poses.join(good, key).where(F.col("good") == needed).drop("good")
+    return poses.join(full(shown), key, "left_semi")
 
 
-def sample_poses(pattern: str, items: DataFrame, count: int, boxes: DataFrame, rooms: DataFrame, bounds: DataFrame, occluders: DataFrame, cfg: Cameras, batch: int = 64) -> DataFrame:
+def sample_poses(pattern: str, items: DataFrame, count: int, boxes: DataFrame, rooms: DataFrame, bounds: DataFrame, occluders: DataFrame, cfg: Cameras) -> DataFrame:
     """The first `count` accepted poses of every item (for lines, the steps of the first accepted walk), with `seq` from 0.
 
     An item may use 10 x count calls, each of at most max_tries attempts that ends with its first acceptance; so what an
-    item can use is bounded by 10 x count acceptances or tries x calls attempts, whichever comes first.
+    item can use is bounded by tries x calls attempts (a line is one call). Batches begin small and grow fourfold, as most
+    items need few attempts; only items that still lack poses go on.
     """
     if pattern not in GENERATORS:
         raise ValueError(f"no pattern {pattern!r}")
     wanted = 1 if pattern == "linear" else count
-    limit = cfg.max_tries * 10 * count
-    open_items, found, first = aimed(items, cfg), None, 0
+    limit = cfg.max_tries if pattern == "linear" else cfg.max_tries * 10 * count
+    open_items, found, first, batch = durable(aimed(items, cfg)), None, 0, 4 * wanted
+    boxes, occluders = durable(boxes), durable(occluders)
     spread = open_items.select("scene_id", "item", "targets", "ox", "oy", "oz", "height")
     while first < limit:
         last = min(limit, first + batch)
@@ -132,7 +136,7 @@ def sample_poses(pattern: str, items: DataFrame, count: int, boxes: DataFrame, r
         found = got if found is None else found.unionByName(got)
         have = found.select("scene_id", "item", "attempt").distinct().groupBy("scene_id", "item").agg(F.count(F.lit(1)).alias("have"))
         open_items = durable(spread.join(have.where(F.col("have") >= wanted), ["scene_id", "item"], "left_anti"))
-        first, batch = last, batch * 8
+        first, batch = last, batch * 4
         if open_items.isEmpty():
             break
     rank = F.dense_rank().over(Window.partitionBy("scene_id", "item").orderBy("attempt"))
@@ -173,4 +177,4 @@ def read_pose(p: Column, legacy_position: Column | None = None, legacy_target: C
     """Flat pose columns of a nested pose, older field names included."""
     position = F.coalesce(p["position"], legacy_position) if legacy_position is not None else p["position"]
     target = F.coalesce(p["target"], legacy_target) if legacy_target is not None else p["target"]
-    return {f"p{a}": position[i] for i, a in enumerate("xyz")} | {f"t{a}": target[i] for i, a in enumerate("xyz")} | {"yaw": p["yaw"], "pitch": p["pitch"], "radius": p["radius"]}
+    return {f"p{a}": F.get(position, F.lit(i)) for i, a in enumerate("xyz")} | {f"t{a}": F.get(target, F.lit(i)) for i, a in enumerate("xyz")} | {"yaw": p["yaw"], "pitch": p["pitch"], "radius": p["radius"]}

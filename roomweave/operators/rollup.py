@@ -77,8 +77,9 @@ def histogram(q: DataFrame, bins: int = 20) -> DataFrame:
 
 
 def pose_references(q: DataFrame) -> DataFrame:
-    refs = q.where(F.col("camera_pose_idx").isNotNull()).groupBy("scene_id").agg(F.countDistinct(F.struct(F.coalesce("pattern_name", F.lit("")), "camera_pose_idx")).alias("pose_refs"))
-    return q.select("scene_id").distinct().join(refs, F.equal_null(q["scene_id"], refs["scene_id"]), "left").select(q["scene_id"], F.coalesce("pose_refs", F.lit(0)).alias("pose_refs"))
+    """Per scene, distinct pattern and pose index; rows without an index count for none."""
+    ref = F.when(F.col("camera_pose_idx").isNotNull(), F.struct(F.coalesce("pattern_name", F.lit("")), "camera_pose_idx"))
+    return q.groupBy("scene_id").agg(F.countDistinct(ref).alias("pose_refs"))
 
 
 def focus_labels(meta: DataFrame) -> DataFrame:

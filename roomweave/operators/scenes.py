@@ -71,7 +71,7 @@ def walls(structure: DataFrame, mode: str = "objects") -> DataFrame:
     w = w.where(F.size("loc") == 2 if camera else F.size("loc") >= 2)
     default = lambda c, v: F.coalesce(F.nullif(c, F.lit(0.0)), F.lit(v)) if camera else F.coalesce(c, F.lit(v))
     half = default(F.col("thickness"), 0.2 if camera else 0.1) / 2
-    ax, ay, bx, by = F.col("loc")[0][0], F.col("loc")[0][1], F.col("loc")[1][0], F.col("loc")[1][1]
+    ax, ay, bx, by = (F.get(F.get("loc", F.lit(i)), F.lit(j)) for i in (0, 1) for j in (0, 1))
     length = F.sqrt((bx - ax) * (bx - ax) + (by - ay) * (by - ay))
     none = F.col("length") < 1e-6
     w = w.withColumn("length", length).withColumn("half", half).where(F.col("length").isNotNull())
@@ -110,5 +110,6 @@ def bounds(structure: DataFrame) -> DataFrame:
     o = F.col("occupancy")
     low = F.coalesce(o["min"], o["lower"], F.array(*(F.lit(float(v)) for v in (-10, -10, 0))))
     high = F.coalesce(o["max"], o["upper"], F.array(*(F.lit(float(v)) for v in (10, 10, 3))))
+    at = lambda c, i: F.get(c, F.lit(i))
     sides = structure.where(o.isNotNull()).select("scene_id", low.alias("low"), high.alias("high"), o["center"].alias("mid"))
-    return sides.select("scene_id", *(F.col("low")[i].alias(f"{a}0") for i, a in enumerate("xyz")), *(F.col("high")[i].alias(f"{a}1") for i, a in enumerate("xyz")), *(F.coalesce(F.col("mid")[i], (F.col("low")[i] + F.col("high")[i]) / 2).alias(f"c{a}") for i, a in enumerate("xyz")))
+    return sides.select("scene_id", *(at("low", i).alias(f"{a}0") for i, a in enumerate("xyz")), *(at("high", i).alias(f"{a}1") for i, a in enumerate("xyz")), *(F.coalesce(at("mid", i), (at("low", i) + at("high", i)) / 2).alias(f"c{a}") for i, a in enumerate("xyz")))

@@ -22,36 +22,56 @@ def box(table: str = "") -> tuple[g.Vec, g.Vec]:
     return tuple(tuple(F.col(f"{at}{a}{n}") for a in "xyz") for n in (0, 1))
 
 
-def _seen(point: g.Vec, cfg: Cameras, border: float) -> Column:
-    k = g.intrinsics(cfg.image_width, cfg.image_height, cfg.fov_deg)
-    return g.in_image(g.to_view(point, g.vec("p"), g.axes_of_view()), k, cfg.image_width, cfg.image_height, border)
+#: Helper columns of with_projection.
+_HELP = (*g.VIEW, *(f"{m}{i}" for m in ("w", "u", "v") for i in range(9)))
+CENTER = 8
+
+
+def with_projection(candidates: DataFrame, cfg: Cameras | None = None) -> DataFrame:
+    """With depth w and image place u, v of the box's corners 0 … 7 and its centre 8; u and v are null behind the camera.
+
+    Every step is computed once: axes, products along each side, sums, divisions.
+    """
+    cfg = cfg or Cameras()
+    fx, fy, cx, cy = g.intrinsics(cfg.image_width, cfg.image_height, cfg.fov_deg)
+    df = g.with_view(candidates)
+    side = {"0": lambda a: F.col(f"{a}0"), "1": lambda a: F.col(f"{a}1"), "c": lambda a: 0.5 * (F.col(f"{a}0") + F.col(f"{a}1"))}
+    df = g.staged(df, {f"_{n}_{a}{k}": F.col(f"{n}_{a}") * (at(a) - F.col(f"p{a}")) for n in ("right", "up", "forward") for a in "xyz" for k, at in side.items()})
+    corners = [(i, j, k) for i in "01" for j in "01" for k in "01"] + [("c", "c", "c")]
+    along = lambda n, c: F.col(f"_{n}_x{c[0]}") + F.col(f"_{n}_y{c[1]}") + F.col(f"_{n}_z{c[2]}")
+    df = g.staged(df, {f"w{i}": along("forward", c) for i, c in enumerate(corners)} | {f"_x{i}": -along("right", c) for i, c in enumerate(corners)} | {f"_y{i}": along("up", c) for i, c in enumerate(corners)})
+    place = lambda f, o, n, i: F.when(F.col(f"w{i}") > 1e-6, f * F.try_divide(F.col(f"_{n}{i}"), F.col(f"w{i}")) + o)
+    df = g.staged(df, {f"u{i}": place(fx, cx, "x", i) for i in range(9)} | {f"v{i}": place(fy, cy, "y", i) for i in range(9)})
+    return df.select(*candidates.columns, *_HELP)
+
+
+def _seen(i: int, cfg: Cameras, border: float) -> Column:
+    return F.coalesce(F.col(f"u{i}").between(border, cfg.image_width - 1 - border) & F.col(f"v{i}").between(border, cfg.image_height - 1 - border), F.lit(False))
 
 
 def fov_reason(cfg: Cameras | None = None, center: bool = True, border: int = 5) -> Column:
-    """ok, or the first reason why a box isn't in the field of view; over rows with view axes."""
+    """ok, or the first reason why a box isn't in the field of view; over rows with_projection."""
     cfg = cfg or Cameras()
-    low, high = box()
-    corners = g.box_corners(low, high)
-    front = g.any_of([g.to_view(c, g.vec("p"), g.axes_of_view())[2] > 1e-6 for c in corners])
-    reason = F.when(~front, "all_corners_behind_camera").when(~g.any_of([_seen(c, cfg, border) for c in corners]), "no_corner_in_image")
+    front = g.any_of([F.col(f"w{i}") > 1e-6 for i in range(8)])
+    reason = F.when(~front, "all_corners_behind_camera").when(~g.any_of([_seen(i, cfg, border) for i in range(8)]), "no_corner_in_image")
     if center:
-        reason = reason.when(~_seen(tuple(0.5 * (a + b) for a, b in zip(low, high, strict=True)), cfg, border), "center_not_in_image")
+        reason = reason.when(~_seen(CENTER, cfg, border), "center_not_in_image")
     return reason.otherwise("ok")
 
 
 def in_fov(candidates: DataFrame, cfg: Cameras | None = None, center: bool = True, border: int = 5) -> DataFrame:
-    return g.with_view(candidates).where(fov_reason(cfg, center, border) == "ok").drop(*g.VIEW)
+    return with_projection(candidates, cfg).where(fov_reason(cfg, center, border) == "ok").drop(*_HELP)
 
 
 def corner_mask(cfg: Cameras | None = None, border: int = 2) -> Column:
-    """Bits of a box's eight corners that are in front and in the image; over rows with view axes."""
+    """Bits of a box's eight corners that are in front and in the image; over rows with_projection."""
     cfg = cfg or Cameras()
-    return reduce(lambda a, b: a.bitwiseOR(b), (F.when(_seen(c, cfg, border), 1 << i).otherwise(0) for i, c in enumerate(g.box_corners(*box()))))
+    return reduce(lambda a, b: a.bitwiseOR(b), (F.when(_seen(i, cfg, border), 1 << i).otherwise(0) for i in range(8)))
 
 
 def visible_corners(candidates: DataFrame, cfg: Cameras | None = None, border: int = 2) -> DataFrame:
     """With `corners`, how many of a box's corners are in the image, whatever stands before them."""
-    return g.staged(g.with_view(candidates), {"corners": F.bit_count(corner_mask(cfg, border))}).drop(*g.VIEW)
+    return with_projection(candidates, cfg).withColumn("corners", F.bit_count(corner_mask(cfg, border))).drop(*_HELP)
 
 
 def _rays(candidates: DataFrame, points: list[g.Vec]) -> DataFrame:
@@ -77,7 +97,7 @@ def _hidden(rays: DataFrame, others: DataFrame, keys: list[str], counts: Column)
 
 def unhidden_corners(candidates: DataFrame, occluders: DataFrame, keys: list[str], cfg: Cameras | None = None, border: int = 2) -> DataFrame:
     """keys and the number of corners in the image that no other box hides; keys name a candidate and hold scene_id and id."""
-    shown = g.staged(g.with_view(candidates), {"shown": corner_mask(cfg, border)}).select(*keys, "shown")
+    shown = with_projection(candidates, cfg).withColumn("shown", corner_mask(cfg, border)).select(*keys, "shown")
     hidden = _hidden(_rays(candidates, g.box_corners(*box())), _other_boxes(occluders), keys, F.col("occ_id") != F.col("id"))
     return shown.join(hidden, keys, "left").select(*keys, F.bit_count(F.col("shown").bitwiseAND(F.bitwise_not(F.coalesce("hidden", F.lit(0))))).alias("corners"))
 
