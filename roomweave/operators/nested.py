@@ -7,8 +7,8 @@ Arrow vectors inside one scan: nothing is shuffled, and only the columns of the
 
 Defined cases: a null or empty array gives no child row; a null entry gives a child row with `present` false; a null
 struct gives null leaves; maps are arrays of `key` and `value`; arrays of numbers are values (coordinates), unless
-`split_vectors`; names of the records' columns can't clash with those made here, since each table has its own prefix
-`<ancestor>_pos`, and leaves are named by their path below the ancestor with underscores.
+`split_vectors`. Leaves are named by their path below the ancestor with underscores; a name that a record key or an
+earlier column has already gets the ancestor's name before it, or a number behind it.
 """
 
 from __future__ import annotations
@@ -96,17 +96,28 @@ def triples(columns: dict[str, pa.Array], split_vectors: bool = False) -> dict[P
     return groups
 
 
+def unclashed(names: list[str], taken: list[str], ancestor: Path) -> list[str]:
+    """The names, changed where they are taken already."""
+    used, out = set(taken), []
+    for name in names:
+        new = name if name not in used else "_".join([*ancestor, name])
+        n = 2
+        while new in used:
+            new, n = f"{name}_{n}", n + 1
+        used.add(new)
+        out.append(new)
+    return out
+
+
 def pivot(group: Group, keys: dict[str, pa.Array]) -> pa.Table:
     """One table of a group: record keys, a position for each repeated ancestor, `present`, then a column a path."""
     at = pa.array(group.record)
-    out = {name: a.take(at) for name, a in keys.items()}
-    for path, ordinal in group.ordinals:
-        out["_".join(path) + "_pos"] = pa.array(ordinal, pa.int32())
+    columns = [("_".join(path) + "_pos", pa.array(ordinal, pa.int32())) for path, ordinal in group.ordinals]
     if group.ancestor:
-        out["present"] = pa.array(group.present)
-    for path, a in group.values.items():
-        out["_".join(path[len(group.ancestor):])] = a
-    return pa.table(out)
+        columns.append(("present", pa.array(group.present)))
+    columns += [("_".join(path[len(group.ancestor):]), a) for path, a in group.values.items()]
+    names = unclashed([n for n, _ in columns], list(keys), group.ancestor)
+    return pa.Table.from_arrays([*(a.take(at) for a in keys.values()), *(a for _, a in columns)], names=[*keys, *names])
 
 
 def path_groups(schema: T.StructType, columns: list[str], split_vectors: bool = False) -> dict[Path, T.StructType]:
@@ -151,9 +162,10 @@ def flat_table(records: DataFrame, keys: list[str], columns: list[str], ancestor
     groups = path_groups(records.schema, columns, split_vectors)
     if path not in groups:
         raise ValueError(f"no repeated ancestor {ancestor!r}; there are {sorted('.'.join(p) for p in groups)}")
-    schema = T.StructType([records.schema[k] for k in keys] + groups[path].fields)
+    fields = groups[path].fields
+    names = [*keys, *unclashed([f.name for f in fields], keys, path)]
+    schema = T.StructType([T.StructField(n, f.dataType) for n, f in zip(names, [*(records.schema[k] for k in keys), *fields], strict=True)])
     wanted = [c for c in columns if not path or c == path[0]]
-    names = schema.names
 
     def shred(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
