@@ -50,8 +50,8 @@ def p4_sample(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    q = table(spark, d, "questions")
-    return stable_sample.deliveries(stable_sample.named(q).select("record", "q_row"))
+    rows = stable_sample.named(table(spark, d, "questions")).select("record", "q_row", F.col("batch_no").alias("epoch"))
+    return stable_sample.deliveries(rows, stable_sample.ledger(rows))
 
 
 def p5_sample(spark: SparkSession, d: str) -> DataFrame:

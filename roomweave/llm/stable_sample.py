@@ -31,18 +31,20 @@ def with_record(questions: DataFrame) -> DataFrame:
 
 
 def ledger(rows: DataFrame, rates: dict[int, float] | None = None, before: DataFrame | None = None, default: float = RATE) -> DataFrame:
-    """(record, epoch, rate) after the rows (record, epoch); entries of `before` stay as they are.
+    """(record, epoch, rate, n) after the rows (record, epoch); what `before` says of epochs and rates stays as it is.
 
-    Rows only meet as one small entry a record and partition; no list of deliveries is made.
+    `n` counts deliveries. Rows only meet as one small entry a record and partition; no list of deliveries is made.
     """
-    seen = rows.groupBy("record").agg(F.min(F.coalesce("epoch", F.lit(0))).alias("epoch"))
-    if before is not None:
-        seen = seen.join(before.select("record"), "record", "left_anti")
+    seen = rows.where(F.col("record").isNotNull()).groupBy("record").agg(F.min(F.coalesce("epoch", F.lit(0))).alias("epoch"), F.count(F.lit(1)).alias("n"))
     rate = F.lit(default)
     for epoch, r in (rates or {}).items():
         rate = F.when(F.col("epoch") == epoch, F.lit(float(r))).otherwise(rate)
-    fresh = seen.withColumn("rate", rate)
-    return fresh if before is None else before.select("record", "epoch", "rate").unionByName(fresh)
+    fresh = seen.withColumn("rate", rate).select("record", "epoch", "rate", "n")
+    if before is None:
+        return fresh
+    old = before.select("record", F.col("epoch").alias("old_epoch"), F.col("rate").alias("old_rate"), F.col("n").alias("old_n"))
+    both = fresh.join(old, "record", "full_outer")
+    return both.select("record", F.coalesce("old_epoch", "epoch").alias("epoch"), F.coalesce("old_rate", "rate").alias("rate"), (F.coalesce("n", F.lit(0)) + F.coalesce("old_n", F.lit(0))).alias("n"))
 
 
 def members(entries: DataFrame, seed: int = SEED) -> DataFrame:
@@ -54,15 +56,14 @@ def sample(rows: DataFrame, entries: DataFrame, seed: int = SEED) -> DataFrame:
     return skew_left_join(rows.where(F.col("record").isNotNull()), members(entries, seed).select("record", F.col("epoch").alias("first_epoch"), "rate"), "record").where(F.col("rate").isNotNull())
 
 
-def deliveries(rows: DataFrame) -> DataFrame:
+def deliveries(rows: DataFrame, entries: DataFrame) -> DataFrame:
     """(q_row_a, q_row_b): the pairs of rows that the ledger treats as one record; rows (record, q_row).
 
-    Only records with several deliveries are joined with themselves. That join is on hashed names and is split by Spark
-    where a name is hot; the rows of a pair are told apart by number, so each pair comes once.
+    Only records with several deliveries are joined with themselves, by 128 bits of their names. Spark splits that join
+    where a name is hot; each pair comes once, the smaller row first.
     """
-    name = F.struct(F.xxhash64("record").alias("h"), F.xxhash64(F.lit(1), "record").alias("g"))
-    keyed = rows.where(F.col("record").isNotNull()).select(name.alias("k"), "q_row").select("k.h", "k.g", "q_row")
-    several = keyed.groupBy("h", "g").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("h", "g")
-    rows_of = keyed.join(several, ["h", "g"], "left_semi")
+    name = [F.xxhash64("record").alias("h"), F.xxhash64(F.lit(1), "record").alias("g")]
+    keyed = rows.where(F.col("record").isNotNull()).select(*name, "q_row")
+    rows_of = keyed.join(entries.where(F.col("n") > 1).select(*name), ["h", "g"], "left_semi")
     a, b = rows_of.withColumnRenamed("q_row", "q_row_a"), rows_of.withColumnRenamed("q_row", "q_row_b")
     return a.join(b, ["h", "g"]).where(F.col("q_row_a") < F.col("q_row_b")).select("q_row_a", "q_row_b")
