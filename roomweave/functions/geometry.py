@@ -259,3 +259,29 @@ def count_of(tests: list[Column]) -> Column:
 
 def over(points: list[Vec], test: Callable[[Vec], Column]) -> list[Column]:
     return [test(p) for p in points]
+
+
+def camera_matrix(camera: Vec, target: Vec) -> tuple[Vec, Vec, Vec]:
+    """(right, down, forward) with the fallbacks of the sampler: forward along y, right along x."""
+    look = sub(target, camera)
+    far = norm(look)
+    forward = either(far < 1e-8, lits(0, 1, 0), tuple(F.try_divide(x, far) for x in look))
+    side = cross(forward, lits(0, 0, 1))
+    wide = norm(side)
+    right = either(wide < 1e-6, lits(1, 0, 0), tuple(F.try_divide(x, wide) for x in side))
+    return right, cross(forward, right), forward
+
+
+def pose_matrix(camera: Vec, target: Vec) -> Column:
+    """The 4x4 camera-to-world matrix of a renderer, as rows."""
+    right, down, forward = render_axes(camera, target)
+    row = lambda i: F.array(right[i], down[i], forward[i], camera[i])
+    return F.array(row(0), row(1), row(2), F.array(*(F.lit(float(x)) for x in (0, 0, 0, 1))))
+
+
+def rotation_struct(yaw: Column, pitch: Column) -> Column:
+    return F.struct(pitch.alias("x"), yaw.alias("y"), F.lit(0.0).alias("z"))
+
+
+def position_struct(position: Vec) -> Column:
+    return F.struct(*(c.alias(a) for a, c in zip("xyz", position, strict=True)))

@@ -254,10 +254,11 @@ def _shape(d: DataFrame, stage: int, q_ord: Column | int, objects: list[str], ki
     return d.withColumns(missing).withColumns({"stage": F.lit(stage), "q_ord": F.lit(q_ord) if isinstance(q_ord, int) else q_ord, "answer_type": F.lit(kind), "primary_object": F.col("a_id"), "object_ranks": F.array(*(F.col(f"{r}_rank") for r in objects))}).select(OUT)
 
 
-def for_poses(focus: DataFrame, pairs: DataFrame, single_poses: DataFrame, pair_poses: DataFrame, multi_poses: DataFrame, cfg: Questions | None = None) -> DataFrame:
+def for_poses(focus: DataFrame, pairs: DataFrame, single_poses: DataFrame, pair_poses: DataFrame, multi_poses: DataFrame, cfg: Questions | None = None, seen: DataFrame | None = None) -> DataFrame:
     """All questions: singles and pairs on their poses, samples on the scene's; poses are (scene_id, pattern_name, pose, item, …).
 
-    Types that are not enabled leave the plan on the driver.
+    `seen` has the objects that each pose's samples are drawn from, all of the scene's unless it is given. Types that are not
+    enabled leave the plan on the driver.
     """
     cfg = cfg or Questions()
     on = set(cfg.enabled_question_types)
@@ -285,7 +286,8 @@ def for_poses(focus: DataFrame, pairs: DataFrame, single_poses: DataFrame, pair_
     if "mc" in on:
         parts.append(_shape(multiple_choice(pair_distance(p), scope), 1, 70, ["a", "b"], "mc"))
     k = cfg.max_questions_per_type
-    seen = focus.join(multi_poses.select("scene_id", *pose).distinct(), "scene_id")
+    if seen is None:
+        seen = focus.join(multi_poses.select("scene_id", *pose).distinct(), "scene_id")
     for name, f, order in (("object_comparison_absolute_distance", multi_absolute, 0), ("object_comparison_relative_distance", multi_ratio, 100)):
         if name in on:
             parts.append(first_of_type(_shape(f(draws(seen, scope, name, 2 * k)).withColumn("item", F.col("draw")), 2, F.lit(order) + F.col("draw"), ["a", "b", "x", "y"], "numerical"), scope, ["q_ord"], k))

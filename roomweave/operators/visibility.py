@@ -63,6 +63,13 @@ def in_fov(candidates: DataFrame, cfg: Cameras | None = None, center: bool = Tru
     return with_projection(candidates, cfg).where(fov_reason(cfg, center, border) == "ok").drop(*_HELP)
 
 
+def all_in_fov(candidates: DataFrame, keys: list[str], cfg: Cameras | None = None) -> DataFrame:
+    """keys, whether all targets of a candidate are in the field of view, and the ids and reasons of those that aren't."""
+    checked = with_projection(candidates, cfg).select(*keys, "id", fov_reason(cfg).alias("reason"))
+    failed = F.array_sort(F.collect_list(F.when(F.col("reason") != "ok", F.struct("id", "reason"))))
+    return checked.groupBy(*keys).agg(F.every(F.col("reason") == "ok").alias("all_visible"), failed.alias("failures"))
+
+
 def corner_mask(cfg: Cameras | None = None, border: int = 2) -> Column:
     """Bits of a box's eight corners that are in front and in the image; over rows with_projection."""
     cfg = cfg or Cameras()

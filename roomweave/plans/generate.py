@@ -27,9 +27,9 @@ def poses_of(pattern: str, count: int, sub_pattern: str | None, items: DataFrame
     return cameras.dense_index(found, ["px", "py", "pz", "tx", "ty", "tz"], ["scene_id"], ["item", "seq"], "pose").select("scene_id", "item", "seq", "pose", *cameras.POSE, F.transform("targets", lambda t: t["label"]).alias("target_labels"))
 
 
-def generate(labels: DataFrame, structure: DataFrame, patterns: tuple = PATTERNS, select: Selection | None = None, camera: Cameras = MAIN_CAMERAS, question: Questions = MAIN_QUESTIONS, per_scene: int | None = None) -> DataFrame:
+def generate(labels: DataFrame, structure: DataFrame, patterns: tuple = PATTERNS, select: Selection | None = None, camera: Cameras = MAIN_CAMERAS, question: Questions = MAIN_QUESTIONS, per_scene: int | None = None, most: int = MAX_FOCUS_OBJECTS, least: int = MIN_FOCUS_OBJECTS) -> DataFrame:
     """All questions of all scenes and patterns, with nested objects and poses."""
-    chosen = durable(focus(labels, structure, select))
+    chosen = durable(focus(labels, structure, select, most, least))
     pairs = durable(selection.focus_pairs(chosen))
     boxes = durable(scenes.all_objects(labels, structure).join(chosen.select("scene_id").distinct(), "scene_id", "left_semi"))
     hiding = scenes.occluders(labels, structure)

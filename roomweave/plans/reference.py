@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from roomweave.config import MAIN_CAMERAS, MAIN_QUESTIONS, Cameras, Selection
 from roomweave.functions import geometry as g
 from roomweave.functions import naming
-from roomweave.operators import cameras, questions, rollup, scenes, selection, visibility
+from roomweave.operators import cameras, questions, rollup, scenes, screen, selection, visibility
 from roomweave.plans import generate as generator
+from roomweave.plans import library
 from roomweave.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -276,6 +277,22 @@ def render_matrices(s: SparkSession, d: str) -> DataFrame:
     return _poses(s, d).select("pose_row", *(micro(c).alias(f"{n}_{a}") for n, v in (("right", right), ("down", down), ("forward", forward)) for a, c in zip("xyz", v, strict=True)))
 
 
+@query
+def projected_area(s: SparkSession, d: str) -> DataFrame:
+    return screen.projected_area(_seen(s, d)).select("pose_row", "id", F.rint("area").alias("area"))
+
+
+@query
+def covered_area(s: SparkSession, d: str) -> DataFrame:
+    return screen.covered_area(_seen(s, d), scenes.occluders(_labels(s, d), _structure(s, d)), ["scene_id", "pose_row", "id"], Cameras(image_width=64, image_height=64))
+
+
+@query
+def all_targets_in_fov(s: SparkSession, d: str) -> DataFrame:
+    seen = visibility.all_in_fov(_seen(s, d), ["pose_row"])
+    return seen.select("pose_row", "all_visible", F.size("failures").alias("failed"))
+
+
 @query
 def sampled_poses_around(s: SparkSession, d: str) -> DataFrame:
     return _sampled(s, d, "around")
@@ -408,6 +425,13 @@ def generated_questions(s: SparkSession, d: str) -> DataFrame:
     return made.select("scene_id", "pattern_name", "camera_pose_idx", "question_type", "question_id", "answer")
 
 
+@query
+def library_rotation_questions(s: SparkSession, d: str) -> DataFrame:
+    """Questions on what each turn in a room shows, every 90 degrees."""
+    made = library.rotation_questions(_labels(s, d), _structure(s, d), Cameras(rotation_interval=90.0))
+    return made.select("scene_id", "room", "camera_yaw", "camera_pose_idx", "question_type", "question_id", "answer")
+
+
 # -- statistics --------------------------------------------------------------------------------------------------------
 
 

@@ -195,6 +195,9 @@ _VISIBLE = f"WITH {CAM}, {FOV}, vis AS (SELECT * FROM fov WHERE reason = 'ok' AN
 ORACLE["visible_objects"] = f"{_VISIBLE} SELECT pose_row, id FROM vis"
 ORACLE["visible_pairs"] = f"{_VISIBLE} SELECT a.pose_row AS pose_row, a.id AS a_id, b.id AS b_id FROM vis a JOIN vis b ON a.pose_row = b.pose_row AND a.rank < b.rank"
 
+ORACLE["all_targets_in_fov"] = f"WITH {CAM}, {FOV} SELECT pose_row, bool_and(reason = 'ok') AS all_visible, CAST(count(*) FILTER (WHERE reason <> 'ok') AS INTEGER) AS failed FROM fov GROUP BY 1"
+ORACLE["projected_centers"] = f"WITH {CAM} SELECT pose_row, id, round_even(CASE WHEN front THEN u END * 1000::DOUBLE, 0) AS u, round_even(CASE WHEN front THEN v END * 1000::DOUBLE, 0) AS v, round_even(wz * 1000::DOUBLE, 0) AS z FROM w3 WHERE point = 0"
+
 # -- questions ---------------------------------------------------------------------------------------------------------
 
 
