@@ -19,13 +19,8 @@ def counters(q: DataFrame) -> DataFrame:
     sets = [["pattern_name"], ["question_type"], ["scene_id"], ["pattern_name", "question_type"], ["scene_id", "pattern_name"], ["scene_id", "question_type"]]
     # One fine partial count first: the sets then expand counts instead of rows.
     fine = base.groupBy("pattern_name", "question_type", "scene_id").agg(F.count(F.lit(1)).alias("n"))
-    fine.createOrReplaceTempView("_roomweave_fine_counts")
-    grouping = ", ".join("(" + ", ".join(s) + ")" for s in sets)
-    out = fine.sparkSession.sql(
-        "SELECT pattern_name, question_type, scene_id, sum(n) AS n, grouping_id(pattern_name, question_type, scene_id) AS level"
-        f" FROM _roomweave_fine_counts GROUP BY GROUPING SETS ({grouping})"
-    )
-    return out.withColumn("level", F.col("level").cast("int"))
+    keys = ["pattern_name", "question_type", "scene_id"]
+    return fine.groupingSets(sets, *keys).agg(F.sum("n").alias("n"), F.grouping_id().cast("int").alias("level"))
 
 
 def label_counts(q: DataFrame) -> DataFrame:
