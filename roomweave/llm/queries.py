@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roomweave.functions.normalize import category_key, scan_key, scene_key
 from roomweave.functions.skew import skew_left_join
 from roomweave.llm import langid, leakage, quota_sample, splits, stable_sample, tokenize
-from roomweave.session import table
+from roomweave.session import shared_dir, table
+
+
+def _folder(spark: SparkSession, name: str) -> str:
+    """A new folder for a kept table: queries begin without an earlier version."""
+    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def _scene_edges(spark: SparkSession, d: str) -> DataFrame:
@@ -17,7 +24,7 @@ def _scene_edges(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    groups = splits.components(_scene_edges(spark, d)).where(F.col("node") != F.col("root")).select(F.col("node").alias("scene"), "root")
+    groups = splits.merge(_scene_edges(spark, d), _folder(spark, "components")).where(F.col("node") != F.col("root")).select(F.col("node").alias("scene"), "root")
     q = table(spark, d, "questions").where(F.col("scene_id").isNotNull()).select("q_row", "scene_id", scene_key(F.col("scene_id")).alias("scene"))
     group = F.coalesce("root", "scene")
     return skew_left_join(q, groups, "scene").where(F.col("scene_id") != group).select("q_row", group.alias("group_scene"))
@@ -25,7 +32,7 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 
 def _split_rows(spark: SparkSession, d: str) -> DataFrame:
     q = table(spark, d, "questions").select("q_row", scene_key(F.col("scene_id")).alias("entity"), category_key(F.col("question_type")).alias("stratum"))
-    ledger = splits.split_ledger(q, _scene_edges(spark, d))
+    ledger = splits.update(q, _scene_edges(spark, d), _folder(spark, "splits"))
     return splits.split_of(q, ledger, "entity", F.col("q_row"))
 
 

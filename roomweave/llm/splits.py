@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from roomweave.functions.skew import skew_left_join
 from roomweave.session import durable
+from roomweave.sources import versions
 
 SPLITS = (("train", 0.8), ("validation", 0.1), ("test", 0.1))
 QUARANTINE = "quarantine"
@@ -73,6 +74,11 @@ def components(edges: DataFrame, known: DataFrame | None = None) -> DataFrame:
     raise RuntimeError(f"no end after {MAX_ROUNDS} rounds")
 
 
+def merge(edges: DataFrame, folder: str) -> DataFrame:
+    """The kept component table in `folder` (node, root) after a batch of edges: its last version merged, written as the next."""
+    return versions.save(components(edges, versions.latest(edges.sparkSession, folder)), folder)
+
+
 def _fill(new: DataFrame, weights: dict[str, dict[str, float]], strata: list[str], shares: Sequence[tuple[str, float]], seed: int) -> DataFrame:
     """(root, split) for new components (root, weight, by_stratum map) given the weights that the splits hold already."""
     spark = new.sparkSession
@@ -148,6 +154,11 @@ def split_ledger(rows: DataFrame, edges: DataFrame, ledger: DataFrame | None = N
     return durable(skew_left_join(tree.select("node", "root"), assigned, "root").select("node", "root", "split"))
 
 
+def update(rows: DataFrame, edges: DataFrame, folder: str, shares: Sequence[tuple[str, float]] = SPLITS, seed: int = 7) -> DataFrame:
+    """The kept table in `folder` after a batch of edges: read from its last version, written as the next."""
+    return versions.save(split_ledger(rows, edges, versions.latest(rows.sparkSession, folder), shares, seed), folder)
+
+
 def split_of(rows: DataFrame, ledger: DataFrame, entity: str, key: Column, shares: Sequence[tuple[str, float]] = SPLITS, seed: int = 7) -> DataFrame:
     """Rows with `root` and `split`; rows of no entity are split by their own key."""
     with_split = skew_left_join(rows.withColumn("_e", F.col(entity)), ledger.select(F.col("node").alias("_e"), "root", "split"), "_e").drop("_e")

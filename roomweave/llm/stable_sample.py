@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from roomweave.functions.skew import skew_left_join
 from roomweave.llm.records import named
+from roomweave.sources import versions
 
 SEED = 20_240
 RATE = 0.1
@@ -47,6 +48,11 @@ def ledger(rows: DataFrame, rates: dict[int, float] | None = None, before: DataF
     return both.select("record", F.coalesce("old_epoch", "epoch").alias("epoch"), F.coalesce("old_rate", "rate").alias("rate"), (F.coalesce("n", F.lit(0)) + F.coalesce("old_n", F.lit(0))).alias("n"))
 
 
+def update(rows: DataFrame, folder: str, rates: dict[int, float] | None = None, default: float = RATE) -> DataFrame:
+    """The kept ledger in `folder` after a batch of rows: read from its last version, written as the next."""
+    return versions.save(ledger(rows, rates, versions.latest(rows.sparkSession, folder), default), folder)
+
+
 def members(entries: DataFrame, seed: int = SEED) -> DataFrame:
     return entries.where(uniform(seed, F.col("record")) < F.col("rate"))
 

@@ -97,3 +97,21 @@ def test_repeated_rows_are_all_paired(spark):
     rows_ = spark.createDataFrame([("r", i) for i in range(6)] + [("s", 9), (None, 10), (None, 11)], "record string, q_row long").withColumn("epoch", F.lit(None).cast("int"))
     assert stable_sample.deliveries(rows_, stable_sample.ledger(rows_)).count() == 15
     assert stable_sample.ledger(rows_).where("epoch = 0").count() == 2
+
+
+def test_kept_tables(spark, questions, tmp_path):
+    rows_ = stable_sample.with_record(questions).select("q_row", "record", F.col("batch_no").alias("epoch"))
+    folder = f"file://{tmp_path}/ledger"
+    first = {r.record: (r.epoch, r.rate) for r in stable_sample.update(rows_.where("epoch >= 2"), folder, {2: 0.5}).collect()}
+    second = {r.record: (r.epoch, r.rate) for r in stable_sample.update(rows_.where("epoch < 2"), folder, {2: 0.9}).collect()}
+    assert all(second[k] == v for k, v in first.items()) and len(second) >= len(first)
+
+    parts = f"file://{tmp_path}/components"
+    splits.merge(edges(spark, ("c", "b"), ("y", "x")), parts)
+    assert {(r.node, r.root) for r in splits.merge(edges(spark, ("b", "a"), ("y", "z")), parts).collect()} == {("a", "a"), ("b", "a"), ("c", "a"), ("x", "x"), ("y", "x"), ("z", "x")}
+
+    keyed = spark.createDataFrame([(f"e{i}", "a") for i in range(40)], "entity string, stratum string")
+    table = f"file://{tmp_path}/splits"
+    before = {r.node: r.split for r in splits.update(keyed, edges(spark, ("e1", "e2")), table).collect()}
+    after = {r.node: r.split for r in splits.update(keyed.unionByName(keyed.limit(1).withColumn("entity", F.lit("new"))), edges(spark, ("e1", "new")), table).collect()}
+    assert before["e1"] == before["e2"] == after["new"] and all(after[k] == v for k, v in before.items())
