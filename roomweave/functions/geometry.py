@@ -229,6 +229,19 @@ def render_axes(camera: Vec, target: Vec) -> tuple[Vec, Vec, Vec]:
     return right, cross(forward, right), forward
 
 
+def with_render_axes(df: DataFrame) -> DataFrame:
+    """render_axes of the camera p and its look target t as columns right_x … forward_z, each step computed once."""
+    camera, target = vec("p"), vec("t")
+    look, far = sub(target, camera), distance(target, camera)
+    df = staged(df, {f"forward_{a}": c for a, c in zip("xyz", either(far < 1e-8, lits(0, 0, 1), tuple(F.try_divide(x, far) for x in look)), strict=True)})
+    forward = vec("forward_")
+    side = cross(forward, lits(0, 0, 1))
+    df = staged(df, {f"_side_{a}": c for a, c in zip("xyz", either(norm(side) < 1e-6, cross(forward, lits(0, 1, 0)), side), strict=True)})
+    wide = norm(vec("_side_"))
+    df = staged(df, {f"right_{a}": c for a, c in zip("xyz", either(wide < 1e-12, lits(1, 0, 0), tuple(F.try_divide(x, wide) for x in vec("_side_"))), strict=True)})
+    return staged(df, {f"down_{a}": c for a, c in zip("xyz", cross(forward, vec("right_")), strict=True)}).drop(*(f"_side_{a}" for a in "xyz"))
+
+
 def project(point: Vec, k: tuple[float, float, float, float]) -> tuple[Column, Column, Column]:
     """(u, v, depth); u and v are null behind the camera."""
     fx, fy, cx, cy = k

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roomweave.functions.normalize import path_key, pose_key
@@ -22,14 +22,21 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return nested.child_links(q, "q_row", ["objects", "camera_pose"], LINKS)
 
 
+def _axes(column: str, prefix: str) -> list[Column]:
+    return [F.get(column, F.lit(i)).alias(f"{prefix}_{a}") for i, a in enumerate("xyz")]
+
+
 def p1_records(spark: SparkSession, d: str) -> DataFrame:
     """The records' own table: what is not repeated, poses included."""
-    q = table(spark, d, "questions")
-    return nested.flat_table(q.select("q_row", "scene_id", "question_id", "answer", "camera_pose_idx", "camera_pose"), ["q_row"], ["scene_id", "question_id", "answer", "camera_pose_idx", "camera_pose"])
+    columns = ["scene_id", "question_id", "answer", "camera_pose_idx", "camera_pose"]
+    flat = nested.flat_table(table(spark, d, "questions").select("q_row", *columns), ["q_row"], columns)
+    rest = ["scene_id", "question_id", "answer", "camera_pose_idx", "camera_pose_yaw", "camera_pose_pitch", "camera_pose_radius"]
+    return flat.select("q_row", *rest, *_axes("camera_pose_position", "position"), *_axes("camera_pose_target", "target"))
 
 
 def p1_objects(spark: SparkSession, d: str) -> DataFrame:
-    return nested.flat_table(table(spark, d, "questions"), ["q_row"], ["objects"], "objects")
+    flat = nested.flat_table(table(spark, d, "questions"), ["q_row"], ["objects"], "objects")
+    return flat.select("q_row", "objects_pos", "present", "id", "label", "room_index", "volume", *_axes("center", "center"), *_axes("dims", "dims"))
 
 
 def p1_pose_targets(spark: SparkSession, d: str) -> DataFrame:

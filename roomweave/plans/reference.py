@@ -272,9 +272,8 @@ def projected_centers(s: SparkSession, d: str) -> DataFrame:
 
 @query
 def render_matrices(s: SparkSession, d: str) -> DataFrame:
-    right, down, forward = g.render_axes(g.vec("p"), g.vec("t"))
-    micro = lambda c: F.rint(c * 1e6)
-    return _poses(s, d).select("pose_row", *(micro(c).alias(f"{n}_{a}") for n, v in (("right", right), ("down", down), ("forward", forward)) for a, c in zip("xyz", v, strict=True)))
+    axes = g.with_render_axes(_poses(s, d))
+    return axes.select("pose_row", *(F.rint(F.col(f"{n}_{a}") * 1e6).alias(f"{n}_{a}") for n in ("right", "down", "forward") for a in "xyz"))
 
 
 @query

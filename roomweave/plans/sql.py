@@ -98,6 +98,12 @@ ORACLE["point_in_polygon_room"] = f"WITH {OBJ} SELECT scene_id, ord, room_index
 ORACLE["room_centers"] = f"WITH {POLYS}, {CENTERS} SELECT CAST(room_idx AS INTEGER) AS room_idx, scene_id, x, y FROM centers"
 ORACLE["room_areas"] = f"""WITH {POLYS}, r AS (SELECT scene_id, unnest(range(0, len(polygons))) AS room_idx, unnest(polygons) AS p FROM polys)
  SELECT scene_id, CAST(room_idx AS INTEGER) AS room_idx, abs(list_sum([p[i][1] * p[CASE WHEN i = len(p) THEN 1 ELSE i + 1 END][2] - p[CASE WHEN i = len(p) THEN 1 ELSE i + 1 END][1] * p[i][2] FOR i IN range(1, len(p) + 1)])) / 2 AS area FROM r"""
+_BX, _BY = ("poly[CASE WHEN i = len(poly) THEN 1 ELSE i + 1 END][%d]" % k for k in (1, 2))
+_EX, _EY = f"({_BX} - poly[i][1])", f"({_BY} - poly[i][2])"
+_T = f"CASE WHEN {_EX} * {_EX} + {_EY} * {_EY} < 1e-12 THEN 0::DOUBLE ELSE least(1::DOUBLE, greatest(0::DOUBLE, ((cx - poly[i][1]) * {_EX} + (cy - poly[i][2]) * {_EY}) / ({_EX} * {_EX} + {_EY} * {_EY}))) END"
+_GX, _GY = f"(cx - (poly[i][1] + ({_T}) * {_EX}))", f"(cy - (poly[i][2] + ({_T}) * {_EY}))"
+ORACLE["object_room_boundary"] = f"""WITH {OBJ}, x AS (SELECT o.scene_id, o.ord, o.room_index, o.cx, o.cy, p.polygons[o.room_index + 1] AS poly FROM obj o JOIN polys p USING (scene_id) WHERE o.room_index IS NOT NULL)
+ SELECT scene_id, ord, room_index, list_min([sqrt({_GX} * {_GX} + {_GY} * {_GY}) FOR i IN range(1, len(poly) + 1)]) AS dist FROM x"""
 ORACLE["walls_to_aabb"] = f"SELECT scene_id, CAST(wall_idx AS INTEGER) AS wall_idx, x0, y0, z0, x1, y1, z1 FROM {_walls(False)}"
 ORACLE["walls_to_aabb_camera"] = f"SELECT scene_id, CAST(wall_idx AS INTEGER) AS wall_idx, x0, y0, z0, x1, y1, z1 FROM {_walls(True)}"
 ORACLE["objects_and_walls"] = f"WITH {OBJ}, {ALL} SELECT scene_id, count(*) AS n, count(*) FILTER (WHERE label = 'wall') AS walls, max(z1) AS top FROM everything GROUP BY scene_id"
@@ -195,6 +201,14 @@ _VISIBLE = f"WITH {CAM}, {FOV}, vis AS (SELECT * FROM fov WHERE reason = 'ok' AN
 ORACLE["visible_objects"] = f"{_VISIBLE} SELECT pose_row, id FROM vis"
 ORACLE["visible_pairs"] = f"{_VISIBLE} SELECT a.pose_row AS pose_row, a.id AS a_id, b.id AS b_id FROM vis a JOIN vis b ON a.pose_row = b.pose_row AND a.rank < b.rank"
 
+_M6 = lambda v, n: f"round_even(({v}) * 1e6::DOUBLE, 0) AS {n}"
+_CROSS = lambda a, b: {v: f"{a}{p} * {b}{q} - {a}{q} * {b}{p}" for v, (p, q) in zip("xyz", ("yz", "zx", "xy"), strict=True)}
+_SIDE2 = lambda k: {v: e.replace("kx", k[0]).replace("ky", k[1]).replace("kz", k[2]) for v, e in _CROSS("f", "k").items()}
+_UPZ, _UPY = _SIDE2(("0::DOUBLE", "0::DOUBLE", "1::DOUBLE")), _SIDE2(("0::DOUBLE", "1::DOUBLE", "0::DOUBLE"))
+ORACLE["render_matrices"] = f"""WITH {POSES}, a AS (SELECT *, {_LOOK} AS far_look FROM poses), b AS (SELECT *, {', '.join(f"CASE WHEN far_look < 1e-8 THEN {_D(1 if v == 'z' else 0)} ELSE (t{v} - p{v}) / NULLIF(far_look, 0) END AS f{v}" for v in 'xyz')} FROM a),
+ c AS (SELECT *, {', '.join(f"{_UPZ[v]} AS s{v}, {_UPY[v]} AS o{v}" for v in 'xyz')} FROM b), e AS (SELECT *, {', '.join(f"CASE WHEN {_sqrt3('sx', 'sy', 'sz')} < 1e-6 THEN o{v} ELSE s{v} END AS h{v}" for v in 'xyz')} FROM c),
+ w AS (SELECT *, {_sqrt3('hx', 'hy', 'hz')} AS wide FROM e), r AS (SELECT *, {', '.join(f"CASE WHEN wide < 1e-12 THEN {_D(1 if v == 'x' else 0)} ELSE h{v} / NULLIF(wide, 0) END AS r{v}" for v in 'xyz')} FROM w)
+ SELECT pose_row, {', '.join(_M6(f'r{v}', f'right_{v}') for v in 'xyz')}, {', '.join(_M6(e, f'down_{v}') for v, e in _CROSS('f', 'r').items())}, {', '.join(_M6(f'f{v}', f'forward_{v}') for v in 'xyz')} FROM r"""
 ORACLE["all_targets_in_fov"] = f"WITH {CAM}, {FOV} SELECT pose_row, bool_and(reason = 'ok') AS all_visible, CAST(count(*) FILTER (WHERE reason <> 'ok') AS INTEGER) AS failed FROM fov GROUP BY 1"
 ORACLE["projected_centers"] = f"WITH {CAM} SELECT pose_row, id, round_even(CASE WHEN front THEN u END * 1000::DOUBLE, 0) AS u, round_even(CASE WHEN front THEN v END * 1000::DOUBLE, 0) AS v, round_even(wz * 1000::DOUBLE, 0) AS z FROM w3 WHERE point = 0"
 
@@ -280,6 +294,16 @@ ORACLE["multi_object_draws"] = f"""WITH {FOCUS}, u AS (SELECT scene_id, id, rank
 ORACLE["pivot_triples"] = f"""WITH {FOCUS}, u AS (SELECT a.scene_id AS scene_id, a.id AS a_id, a.rank AS a_rank, o.id AS o_id, o.rank AS o_rank, {_uniform('pivot', 'a.scene_id', 'a.id', 'o.id')} AS r FROM focus a JOIN focus o ON a.scene_id = o.scene_id AND a.id <> o.id),
  k AS (SELECT *, row_number() OVER (PARTITION BY scene_id, a_id, a_rank ORDER BY r, o_rank) AS k FROM u) SELECT scene_id, a_id, max(CASE WHEN k = 1 THEN o_id END) AS b_id, max(CASE WHEN k = 2 THEN o_id END) AS x_id FROM k WHERE k <= 2 GROUP BY scene_id, a_id, a_rank HAVING count(*) = 2"""
 
+_U = lambda ch: _uniform(ch, "scene_id", "question_id", "CAST(i AS VARCHAR)")
+_TIMES = f"CASE WHEN {_U('side')} < 0.5 THEN 0.3::DOUBLE + {_U('times')} * 0.4::DOUBLE ELSE 1.3::DOUBLE + {_U('times')} * 1.2::DOUBLE END"
+_TRY = _r2(f"answer_value * ({_TIMES})")
+_SPARE = ", ".join(_r2(f"answer_value + 0.51::DOUBLE * {k}") for k in range(1, 8))
+ORACLE["mc_choices"] = f"""WITH {FOCUS}, m AS (SELECT a.scene_id AS scene_id, 'mc_object_pair_distance_center_' || a.id || '_' || b.id AS question_id, {_r2(_dist('a', 'b'))} AS answer_value FROM {FPAIR}),
+ t AS (SELECT *, [CASE WHEN {_TRY} > 0 THEN {_TRY} ELSE {_r2(f"0.1::DOUBLE + {_U('small')} * 1.9::DOUBLE")} END FOR i IN range(0, 50)] || [{_SPARE}] AS c FROM m),
+ o AS (SELECT *, [c[j] FOR j IN range(1, len(c) + 1) IF list_position(c, c[j]) = j AND c[j] <> answer_value][1:3] AS others FROM t),
+ p AS (SELECT *, [s.v FOR s IN list_sort([{{'k': {_uniform('place', 'scene_id', 'question_id', 'CAST(v AS VARCHAR)')}, 'v': v}} FOR v IN [answer_value] || others])] AS vals FROM o)
+ SELECT scene_id, question_id, answer_value, substr('ABCD', CAST(list_position(vals, answer_value) AS INTEGER), 1) AS answer, {', '.join(f"CAST(vals[{i + 1}] AS VARCHAR) AS choice_{x}" for i, x in enumerate('abcd'))} FROM p"""
+
 # -- statistics --------------------------------------------------------------------------------------------------------
 
 _NUMERIC = "('object_size', 'object_distance_to_camera', 'object_pair_distance_center')"
@@ -364,6 +388,12 @@ ORACLE["p1_found"] = f"""WITH q AS (SELECT q_row, objects, camera_pose.target_ob
  o AS (SELECT q_row, ids, unnest(range(0, len(objects))) AS pos, unnest(objects) AS o FROM q), t AS (SELECT q_row, labels, unnest(range(0, len(targets))) AS pos, unnest(targets) AS t FROM q)
  SELECT q_row, 'object' AS child_kind, CAST(pos AS INTEGER) AS child_pos, CAST(CASE WHEN o.id IS NULL THEN pos ELSE list_position(ids, trim(o.id)) - 1 END AS INTEGER) AS link_pos FROM o WHERE {_HAS}
  UNION ALL SELECT q_row, 'target', CAST(pos AS INTEGER), CAST(COALESCE(NULLIF(list_position(labels, lower(trim(t))), 0), 0) - 1 AS INTEGER) FROM t WHERE t IS NOT NULL AND trim(t) <> ''"""
+_XYZ = lambda c, n: ", ".join(f"{c}[{i + 1}] AS {n}_{a}" for i, a in enumerate("xyz"))
+ORACLE["p1_records"] = f"SELECT q_row, scene_id, question_id, answer, camera_pose_idx, camera_pose.yaw AS camera_pose_yaw, camera_pose.pitch AS camera_pose_pitch, camera_pose.radius AS camera_pose_radius, {_XYZ('camera_pose.position', 'position')}, {_XYZ('camera_pose.target', 'target')} FROM questions"
+ORACLE["p1_objects"] = f"""WITH o AS (SELECT q_row, unnest(range(0, len(objects))) AS pos, unnest(objects) AS o FROM questions)
+ SELECT q_row, CAST(pos AS INTEGER) AS objects_pos, ({_HAS}) AS present, o.id AS id, o.label AS label, o.room_index AS room_index, o.volume AS volume, {_XYZ('o.center', 'center')}, {_XYZ('o.dims', 'dims')} FROM o"""
+ORACLE["p1_choices"] = """WITH c AS (SELECT q_row, unnest(range(0, len(map_entries(choices)))) AS pos, unnest(map_entries(choices)) AS e FROM questions)
+ SELECT q_row, CAST(pos AS INTEGER) AS choices_pos, e.key IS NOT NULL OR e.value IS NOT NULL AS present, e.key AS key, e.value AS value FROM c"""
 ORACLE["p1_pose_targets"] = """WITH t AS (SELECT q_row, unnest(range(0, len(camera_pose.target_objects))) AS pos, unnest(camera_pose.target_objects) AS v FROM questions)
  SELECT q_row, CAST(pos AS INTEGER) AS camera_pose_target_objects_pos, v IS NOT NULL AS present, v AS value FROM t"""
 _REFS = f"""refs AS (SELECT q_row, 'image_path' AS ref_field, {path_key('image_path')} AS k, ingested_at AS t FROM questions UNION ALL
