@@ -95,17 +95,22 @@ def _other_boxes(occluders: DataFrame) -> DataFrame:
 OTHER = tuple(tuple(f"o{a}{n}" for a in "xyz") for n in (0, 1))
 
 
-def _hidden(rays: DataFrame, others: DataFrame, keys: list[str], counts: Column) -> DataFrame:
-    """keys and `hidden`, the bits of the points that some box hides: one aggregate with partial results per task."""
+def _hidden(candidates: DataFrame, points: list[g.Vec], others: DataFrame, keys: list[str], counts: Column) -> DataFrame:
+    """keys and `hidden`, the bits of the points that some box hides: one aggregate with partial results per task.
+
+    A box can only stand before a point if it reaches into the box around camera and target; all others leave before the
+    rays are made.
+    """
     low, high = (tuple(F.col(c) for c in cs) for cs in OTHER)
-    both = rays.join(others, "scene_id").where(counts & g.blocks(g.vec("p"), low, high))
-    return both.groupBy(*keys).agg(F.bit_or(F.expr("shiftleft(1, point)")).alias("hidden"))
+    reaches = reduce(lambda x, y: x & y, ((F.least(F.col(f"p{a}"), F.col(f"{a}0")) <= hi + 1e-6) & (F.greatest(F.col(f"p{a}"), F.col(f"{a}1")) >= lo - 1e-6) for a, lo, hi in zip("xyz", low, high, strict=True)))
+    met = candidates.join(others, "scene_id").where(reaches & counts)
+    return _rays(met, points).where(g.blocks(g.vec("p"), low, high)).groupBy(*keys).agg(F.bit_or(F.expr("shiftleft(1, point)")).alias("hidden"))
 
 
 def unhidden_corners(candidates: DataFrame, occluders: DataFrame, keys: list[str], cfg: Cameras | None = None, border: int = 2) -> DataFrame:
     """keys and the number of corners in the image that no other box hides; keys name a candidate and hold scene_id and id."""
     shown = with_projection(candidates, cfg).withColumn("shown", corner_mask(cfg, border)).select(*keys, "shown")
-    hidden = _hidden(_rays(candidates, g.box_corners(*box())), _other_boxes(occluders), keys, F.col("occ_id") != F.col("id"))
+    hidden = _hidden(candidates, g.box_corners(*box()), _other_boxes(occluders), keys, F.col("occ_id") != F.col("id"))
     return shown.join(hidden, keys, "left").select(*keys, F.bit_count(F.col("shown").bitwiseAND(F.bitwise_not(F.coalesce("hidden", F.lit(0))))).alias("corners"))
 
 
@@ -123,7 +128,7 @@ def occlusion(candidates: DataFrame, occluders: DataFrame, keys: list[str], wall
     if not walls_only:
         counts &= F.col("is_wall") | (g.box_gap(low, high, o_low, o_high) >= near)
     points = [tuple((a + b) / 2 for a, b in zip(low, high, strict=True)), *g.box_corners(low, high)]
-    hidden = _hidden(_rays(candidates, points), others, keys, counts)
+    hidden = _hidden(candidates, points, others, keys, counts)
     mask = F.coalesce("hidden", F.lit(0))
     flags = candidates.select(*keys).join(hidden, keys, "left").select(*keys, F.bit_count(mask).alias("hidden_points"), (mask.bitwiseAND(F.lit(1)) == 1).alias("center_hidden"))
     return flags.withColumn("occluded", F.col("center_hidden") | (F.col("hidden_points") / 9.0 >= threshold))
