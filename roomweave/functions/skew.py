@@ -14,8 +14,8 @@ HOT_ROWS = 20_000
 def hot_keys(rows: DataFrame, key: str, most: int = HOT_KEYS, least: int = HOT_ROWS) -> DataFrame:
     """The at most `most` keys with more than `least` rows: counted with map-side combine, bounded by the limit."""
     return (
-        rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > least)
-        .orderBy(F.desc("_n"), key).limit(most).select(key)
+        rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_roomweave_n")).where(F.col("_roomweave_n") > least)
+        .orderBy(F.desc("_roomweave_n"), key).limit(most).select(key)
     )
 
 
@@ -23,14 +23,16 @@ def skew_left_join(rows: DataFrame, lookup: DataFrame, key: str, most: int = HOT
     """rows LEFT JOIN lookup ON key, where `lookup` has one row a key and `rows` may have very hot keys.
 
     The lookup rows of hot keys (at most `most` of them, a fixed bound) are broadcast, so that rows of hot keys stay
-    where they are; all other rows meet in a shuffle whose largest key is bounded. Null keys never shuffle.
+    where they are; all other rows meet in a shuffle whose largest key is bounded. Null keys never shuffle. Columns of
+    `rows` that the lookup has too are replaced.
     """
+    rows = rows.drop(*(c for c in lookup.columns if c != key))
     hot = hot_keys(rows, key, most, least)
-    warm = F.broadcast(hot.withColumn("_hot", F.lit(True)))
+    warm = F.broadcast(hot.withColumn("_roomweave_hot", F.lit(True)))
     tagged = rows.join(warm, key, "left")
     values = [c for c in lookup.columns if c != key]
     small = F.broadcast(lookup.join(F.broadcast(hot), key, "left_semi"))
-    kept = tagged.where(F.col("_hot") | F.col(key).isNull()).drop("_hot").join(small, key, "left")
-    rest = tagged.where(F.col("_hot").isNull() & F.col(key).isNotNull()).drop("_hot").join(lookup, key, "left")
+    kept = tagged.where(F.col("_roomweave_hot") | F.col(key).isNull()).drop("_roomweave_hot").join(small, key, "left")
+    rest = tagged.where(F.col("_roomweave_hot").isNull() & F.col(key).isNotNull()).drop("_roomweave_hot").join(lookup, key, "left")
     columns = [*rows.columns, *values]
     return kept.select(columns).unionByName(rest.select(columns))

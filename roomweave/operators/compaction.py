@@ -156,6 +156,10 @@ def line_fates(files: DataFrame, target_bytes: int = TARGET_BYTES, shard_files:
     return skew_left_join(lines, several, "digest").select("file_id", "line_no", fate.alias("fate"))
 
 
+def _uri(folder: str) -> str:
+    return folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"
+
+
 # -- output ------------------------------------------------------------------------------------------------------------
 
 
@@ -163,20 +167,24 @@ def compact(spark: SparkSession, files: DataFrame, out_dir: str, target_bytes: i
     """Write every readable record exactly once into `out_dir` and return its manifest.
 
     Manifest: (path, out_group, files, records, bytes). A lost or repeated task leaves at most an unlisted file behind:
-    the manifest names the files of the tasks that counted, is checked against the number of records to be kept and
-    against each file's own footer, and appears under its final name only by the last rename.
+    the manifest names the files of the tasks that counted, is checked against the number of records to be kept and, on
+    the executors, against each file's own footer, and appears under its final name only by the last rename. A folder
+    that has a manifest already is refused.
     """
     kept = line_fates(files, target_bytes, shard_files).where(F.col("fate") == "keep")
     by_file = durable(kept.groupBy("file_id").agg(F.sort_array(F.collect_list("line_no")).alias("keep")))  # at most the lines of one tiny file
     expected = by_file.agg(F.coalesce(F.sum(F.size("keep")), F.lit(0))).first()[0]
     placed, groups = grouped_files(files, target_bytes, shard_files)
     chosen = placed.join(by_file, "file_id").repartition(groups, "out_group").sortWithinPartitions("out_group", "file_id")
-    fs, root = pafs.FileSystem.from_uri(out_dir if "://" in out_dir or out_dir.startswith("file:") else f"file://{out_dir}")
+    uri = _uri(out_dir)
+    fs, root = pafs.FileSystem.from_uri(uri)
+    if fs.get_file_info(f"{root}/_manifest").type != pafs.FileType.NotFound:
+        raise FileExistsError(f"{out_dir} has a manifest already")
     fs.create_dir(f"{root}/data", recursive=True)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sink, group, name, counts = None, None, "", [0, 0]
-        own = pafs.FileSystem.from_uri(out_dir if "://" in out_dir or out_dir.startswith("file:") else f"file://{out_dir}")[0]
+        own = pafs.FileSystem.from_uri(uri)[0]
 
         def close() -> pa.RecordBatch:
             sink.close()
@@ -201,23 +209,27 @@ def compact(spark: SparkSession, files: DataFrame, out_dir: str, target_bytes: i
             yield close()
 
     manifest = durable(chosen.select("file_id", "body", "out_group", "keep").mapInArrow(write, "path string, out_group int, files bigint, records bigint, bytes bigint"))
-    listed = manifest.orderBy("out_group").collect()  # one row an output file, not an input file
-    for row in listed:
-        rows = pq.ParquetFile(fs.open_input_file(f"{root}/data/{row.path}")).metadata.num_rows
-        if rows != row.records:
-            raise RuntimeError(f"{row.path} holds {rows} records instead of {row.records}")
-    if sum(r.records for r in listed) != expected:
-        raise RuntimeError(f"{sum(r.records for r in listed)} records were written instead of {expected}")
-    with fs.open_output_stream(f"{root}/_manifest.tmp") as f:
-        f.write(json.dumps([r.asDict() for r in listed]).encode())
-    fs.move(f"{root}/_manifest.tmp", f"{root}/_manifest.json")
+
+    def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = pafs.FileSystem.from_uri(uri)[0]
+        for batch in batches:
+            wrong = [p for p, n in zip(batch.column("path").to_pylist(), batch.column("records").to_pylist(), strict=True) if pq.ParquetFile(own.open_input_file(f"{root}/data/{p}")).metadata.num_rows != n]
+            yield pa.record_batch([pa.array(wrong, pa.string())], ["path"])
+
+    wrong = manifest.select("path", "records").mapInArrow(differ, "path string").first()
+    if wrong:
+        raise RuntimeError(f"{wrong.path} doesn't hold the records that its task counted")
+    written = manifest.agg(F.coalesce(F.sum("records"), F.lit(0))).first()[0]
+    if written != expected:
+        raise RuntimeError(f"{written} records were written instead of {expected}")
+    manifest.write.mode("overwrite").parquet(f"{uri}/_manifest.tmp")
+    fs.move(f"{root}/_manifest.tmp", f"{root}/_manifest")
     return manifest
 
 
 def read_compacted(spark: SparkSession, out_dir: str) -> DataFrame:
-    """The records of a published manifest; files that it doesn't name are not read."""
-    fs, root = pafs.FileSystem.from_uri(out_dir if "://" in out_dir or out_dir.startswith("file:") else f"file://{out_dir}")
-    listed = json.loads(fs.open_input_file(f"{root}/_manifest.json").read())
-    if not listed:
-        return spark.createDataFrame([], "file_id bigint, line_no int, record string")
-    return spark.read.parquet(*(f"{out_dir}/data/{r['path']}" for r in listed))
+    """The records of a published manifest; rows of files that it doesn't name are left out."""
+    uri = _uri(out_dir)
+    listed = spark.read.parquet(f"{uri}/_manifest").select(F.col("path").alias("_path"))
+    records = spark.read.schema("file_id bigint, line_no int, record string").parquet(f"{uri}/data").select("*", F.col("_metadata.file_name").alias("_path"))
+    return records.join(listed, "_path", "left_semi").drop("_path")

@@ -99,5 +99,9 @@ def test_compaction_round_trip(spark, files, tmp_path):
     got = sorted(json.dumps(json.loads(r.record), sort_keys=True) for r in compaction.read_compacted(spark, out).collect())
     kept = ['{"a": "1"}', '{"a": 1.0, "b": ["\\u00e9"]}', '{"c": -94.98}', '{"c": 1}', '{"c": true}', '{"c": {"#": "1"}}']
     assert got == sorted(kept)
+    (tmp_path / "out/data/group-unlisted.parquet").write_bytes(next((tmp_path / "out/data").glob("*.parquet")).read_bytes())
+    assert compaction.read_compacted(spark, out).count() == len(kept)
+    with pytest.raises(FileExistsError):
+        compaction.compact(spark, files, out)
     empty = compaction.compact(spark, files.limit(0), f"file://{tmp_path}/none")
     assert empty.count() == 0 and compaction.read_compacted(spark, f"file://{tmp_path}/none").count() == 0
