@@ -6,8 +6,8 @@ takes to point into that language's text, the closer the text is to it. The lang
 the others need more give the confidence. Phrases begin anew at each word (with the blanks around it), so that a worker
 parses each word form once and remembers its phrase counts while memory holds.
 
-The automata are fitted on at most SAMPLE_CHARS characters of labelled text a language, in order of sample_id: a fixed
-bound, so that they may be sent to all workers. Everything else covers the whole corpus, in one scan without a shuffle.
+The automata are fitted on at most SAMPLE_ROWS labelled samples, in order of sample_id, and SAMPLE_CHARS characters a
+language: fixed bounds, so that they may be sent to all workers. Everything else covers the whole corpus, in one scan without a shuffle.
 
 A sentence counts as whole from WHOLE words on, bracketed and quoted parts apart; a language is one of a document's if a
 whole sentence is in it with confidence SURE or more. A document without such a sentence has the language of all its words.
@@ -31,6 +31,7 @@ from roomweave.llm.tokenize import SuffixAutomaton
 from roomweave.llm.words import fold, without_interruptions
 
 SAMPLE_CHARS = 1_000_000
+SAMPLE_ROWS = 50_000
 WHOLE = 6
 SURE = 0.99
 #: Bits a word by which the language of a sentence must be ahead.
@@ -206,11 +207,11 @@ def parser(samples: tuple[tuple[str, str], ...]) -> CrossParser:
     return _PARSERS[samples]
 
 
-def fitted(samples: DataFrame, chars: int = SAMPLE_CHARS) -> tuple[tuple[str, str], ...]:
-    """Labelled text by language, up to the bound; samples are read one by one and the rest is left on the cluster."""
+def fitted(samples: DataFrame, chars: int = SAMPLE_CHARS, rows: int = SAMPLE_ROWS) -> tuple[tuple[str, str], ...]:
+    """Labelled text by language, up to the bounds; all other samples are left on the cluster."""
     held: dict[str, list[str]] = {}
     sizes: dict[str, int] = {}
-    for row in samples.select("sample_id", "lang", "text").where("text is not null").orderBy("sample_id").toLocalIterator():
+    for row in samples.select("sample_id", "lang", "text").where("text is not null").orderBy("sample_id").limit(rows).toLocalIterator():
         lang = label_language(row.lang)
         if lang and sizes.get(lang, 0) < chars:
             held.setdefault(lang, []).append(row.text)

@@ -160,7 +160,7 @@ def update(rows: DataFrame, edges: DataFrame, folder: str, shares: Sequence[tupl
 
 
 def split_of(rows: DataFrame, ledger: DataFrame, entity: str, key: Column, shares: Sequence[tuple[str, float]] = SPLITS, seed: int = 7) -> DataFrame:
-    """Rows with `root` and `split`; rows of no entity are split by their own key."""
+    """Rows with `root` and `split` (in place of columns of these names); rows of no entity are split by their own key."""
     with_split = skew_left_join(rows.withColumn("_e", F.col(entity)), ledger.select(F.col("node").alias("_e"), "root", "split"), "_e").drop("_e")
     u = F.pmod(F.xxhash64(F.lit(seed), key), F.lit(1 << 30)) / F.lit(float(1 << 30))
     cut, alone = 0.0, F.lit(shares[0][0])

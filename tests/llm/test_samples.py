@@ -43,6 +43,9 @@ def test_split_keeps_groups_and_shares(spark):
     shares = {r.split: r.share for r in splits.split_report(out).where("stratum = '*'").collect()}
     assert abs(shares["train"] - 0.8) < 0.03 and abs(shares["test"] - 0.1) < 0.03
 
+    clash = splits.split_of(rows_.withColumns({"root": F.lit(1), "split": F.lit(2)}), ledger, "entity", F.col("k"))
+    assert sorted(map(str, clash.select("k", "split").collect())) == sorted(map(str, out.select("k", "split").collect()))
+
     # A later batch: old entities keep their split, a merge over two splits is quarantined, new ones are placed.
     by = {}
     for node, (_root, s) in split.items():
@@ -88,6 +91,7 @@ def test_stable_sample(spark, questions):
     assert old and old <= new
     sampled = {r.q_row for r in stable_sample.sample(rows_, second).collect()}
     assert sampled == {r.q_row for r in stable_sample.sample(rows_.repartition(5), second).collect()}
+    assert {r.q_row for r in stable_sample.sample(rows_.withColumn("rate", F.lit("x")), second).collect()} == sampled
     pairs = stable_sample.deliveries(rows_, stable_sample.ledger(rows_)).collect()
     assert all((r.q_row_a in sampled) == (r.q_row_b in sampled) for r in pairs) and all(r.q_row_a < r.q_row_b for r in pairs)
     assert stable_sample.ledger(rows_.limit(0)).count() == 0
