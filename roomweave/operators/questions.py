@@ -208,6 +208,14 @@ def multiple_choice(made: DataFrame, scope: list[str], tries: int = 50) -> DataF
     return d.withColumn("answer_value", F.col("right")).withColumn("question", _text(F.concat(F.col("base"), F.lit("\n\n"), listed), LETTER_POST, LETTER_OUT)).drop("right", "others", "values")
 
 
+#: Constructors by question type; mc wraps the three types that have a `base`.
+CONSTRUCTORS = {
+    "object_size": object_size, "object_distance_to_camera": distance_to_camera, "object_size_comparison_relative": size_ratio, "object_size_comparison_absolute": size_absolute,
+    "object_pair_distance_center": pair_distance, "object_pair_distance_center_w_size": pair_distance_sized, "object_pair_distance_vector": pair_vector,
+    "object_comparison_absolute_distance": multi_absolute, "object_comparison_relative_distance": multi_ratio,
+    "relative_size": relative_size, "relative_distance": relative_distance, "relative_distance_to_camera": relative_distance_to_camera, "mc": multiple_choice,
+}
+
 # -- samples -----------------------------------------------------------------------------------------------------------
 
 KEEP = ["id", "label", "cx", "cy", "cz", "dx", "dy", "dz", "rank"]

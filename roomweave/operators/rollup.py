@@ -153,6 +153,12 @@ def with_image_paths(q: DataFrame, images: DataFrame) -> DataFrame:
     return keyed.join(there, F.col("_path") == F.col("_there"), "left").withColumn("image_path", F.coalesce("_there", "image_path")).drop("_path", "_there")
 
 
+def with_images(q: DataFrame, rendered: DataFrame) -> DataFrame:
+    """Questions with `image` set from rendered (scene_id, pattern_name, camera_pose_idx, file) where their pose is rendered."""
+    files = rendered.select("scene_id", "pattern_name", "camera_pose_idx", F.concat(F.lit("images/"), "file").alias("_image"))
+    return q.join(files, ["scene_id", "pattern_name", "camera_pose_idx"], "left").withColumn("image", F.coalesce("_image", "image")).select(q.columns)
+
+
 def view_counter(poses: DataFrame, key: Column) -> DataFrame:
     """A running number of the views of each target key, by pose index within scene and pattern."""
     w = Window.partitionBy("scene_id", "pattern_name", "object_key").orderBy("pose_idx", "pose_row")

@@ -55,6 +55,14 @@ def gated(focus: DataFrame, least: int = MIN_FOCUS_OBJECTS) -> DataFrame:
     return focus.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("scene_id"))).where(F.col("_n") >= least).drop("_n")
 
 
+def gate_report(objects: DataFrame, focus: DataFrame, least: int = MIN_FOCUS_OBJECTS) -> DataFrame:
+    """Per scene: parsed objects, focus objects and whether a run skips it."""
+    n = objects.groupBy("scene_id").agg(F.count(F.lit(1)).alias("objects"))
+    f = focus.groupBy("scene_id").agg(F.count(F.lit(1)).alias("focus"))
+    both = n.join(f, "scene_id", "left").withColumn("focus", F.coalesce("focus", F.lit(0)))
+    return both.withColumn("skipped", F.col("focus") < least)
+
+
 def _sides(objects: DataFrame, name: str, keep: list[str]) -> DataFrame:
     return objects.select("scene_id", *(F.col(c).alias(f"{name}_{c}") for c in keep))
 

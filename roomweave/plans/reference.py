@@ -138,6 +138,12 @@ def focus_min_gate(s: SparkSession, d: str) -> DataFrame:
     return _focus(s, d).select("scene_id", "rank", "id")
 
 
+@query
+def scene_gate(s: SparkSession, d: str) -> DataFrame:
+    objects = _objects(s, d)
+    return selection.gate_report(objects, selection.focus_objects(selection.single_objects(objects)))
+
+
 @query
 def pairs_valid_capped(s: SparkSession, d: str) -> DataFrame:
     return selection.valid_pairs(_objects(s, d)).select("scene_id", "pair_ord", "a_ord", "b_ord")
@@ -578,6 +584,16 @@ def image_path_update(s: SparkSession, d: str) -> DataFrame:
     return rollup.with_image_paths(_q(s, d), table(s, d, "rendered_images")).select("q_row", "image_path")
 
 
+@query
+def question_images(s: SparkSession, d: str) -> DataFrame:
+    """Questions with the image of their pose, where that is rendered; the first row of a path counts."""
+    parts = F.regexp_extract_all("image_path", F.lit("^([^/]+)/([^/]+)/images/(pose_(\\d+)[.]png)$"), 0)
+    images = table(s, d, "rendered_images").where(F.size(parts) == 1)
+    part = lambda i: F.regexp_extract("image_path", "^([^/]+)/([^/]+)/images/(pose_(\\d+)[.]png)$", i)
+    rendered = images.select(part(2).alias("scene_id"), part(1).alias("pattern_name"), part(4).cast("int").alias("camera_pose_idx"), part(3).alias("file")).distinct()
+    return rollup.with_images(_q(s, d), rendered).select("q_row", "image")
+
+
 @query
 def sanitize_names(s: SparkSession, d: str) -> DataFrame:
     return _labels(s, d).where(F.col("label").isNotNull()).select("scene_id", "label_ord", naming.sanitize(F.col("label")).alias("name"))

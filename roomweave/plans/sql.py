@@ -114,6 +114,7 @@ ORACLE["filter_geometric_reason"] = f"""WITH {PARSED} SELECT scene_id, ord, CASE
 ORACLE["label_unique_room"] = f"WITH {OBJ}, {SINGLE} SELECT scene_id, ord, id, label, room_index FROM single"
 ORACLE["focus_top5"] = f"WITH {FOCUS} SELECT scene_id, CAST(rank AS INTEGER) AS rank, id, label, volume FROM focus5"
 ORACLE["focus_min_gate"] = f"WITH {FOCUS} SELECT scene_id, CAST(rank AS INTEGER) AS rank, id FROM focus"
+ORACLE["scene_gate"] = f"WITH {FOCUS}, g AS (SELECT scene_id, count(*) AS n FROM focus5 GROUP BY 1) SELECT scene_id, count(*) AS objects, COALESCE(any_value(g.n), 0) AS focus, COALESCE(any_value(g.n), 0) < 3 AS skipped FROM obj LEFT JOIN g USING (scene_id) GROUP BY scene_id"
 ORACLE["pairs_valid_capped"] = f"WITH {OBJ}, {VALID} SELECT scene_id, CAST(pair_ord AS INTEGER) AS pair_ord, a_ord, b_ord FROM valid WHERE pair_ord <= 100"
 ORACLE["pair_reject_reasons"] = f"WITH {OBJ} SELECT a.scene_id AS scene_id, {REASON} AS reason, count(*) AS n {JOINED} GROUP BY 1, 2"
 ORACLE["triples_valid_capped"] = f"""WITH {OBJ}, {VALID} SELECT scene_id, a_ord, b_ord, c_ord, CAST(triple_ord AS INTEGER) AS triple_ord FROM (SELECT x.scene_id AS scene_id, x.a_ord AS a_ord, x.b_ord AS b_ord, y.b_ord AS c_ord,
@@ -350,6 +351,8 @@ ORACLE["view_counter"] = f"""WITH k AS (SELECT pose_row, scene_id, pattern_name,
 _PATH = "format('{}/{}/images/pose_{:04d}.png', pattern_name, scene_id, camera_pose_idx)"
 ORACLE["missing_images_anti"] = f"SELECT * FROM (SELECT DISTINCT scene_id, pattern_name, camera_pose_idx, {_PATH} AS image_path FROM questions WHERE camera_pose_idx >= 0 AND scene_id IS NOT NULL) WHERE image_path NOT IN (SELECT image_path FROM rendered_images WHERE image_path IS NOT NULL)"
 ORACLE["image_path_update"] = f"SELECT q_row, CASE WHEN camera_pose_idx >= 0 AND {_PATH} IN (SELECT image_path FROM rendered_images WHERE image_path IS NOT NULL) THEN {_PATH} ELSE image_path END AS image_path FROM questions"
+_FILE = "format('pose_{:04d}.png', camera_pose_idx)"
+ORACLE["question_images"] = f"SELECT q_row, CASE WHEN camera_pose_idx >= 0 AND {_PATH} IN (SELECT image_path FROM rendered_images WHERE image_path IS NOT NULL) THEN 'images/' || {_FILE} ELSE image END AS image FROM questions"
 ORACLE["sanitize_names"] = f"SELECT scene_id, label_ord, {_SANE('label')} AS name FROM scene_labels WHERE label IS NOT NULL"
 ORACLE["json_props_extract"] = "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events"
 
