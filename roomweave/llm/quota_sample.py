@@ -23,6 +23,8 @@ from roomweave.llm.records import named
 FIELDS = ("question_type", "answer_type", "answer")
 #: Ranges of priorities for which counts are kept per category.
 RANGES = 4096
+#: Up to so many plan rows are sent to all tasks; more are joined by shuffles.
+PLAN_ROWS = 10_000
 
 
 def records(questions: DataFrame, fields: tuple[str, ...] = FIELDS) -> DataFrame:
@@ -31,16 +33,18 @@ def records(questions: DataFrame, fields: tuple[str, ...] = FIELDS) -> DataFrame
     return rows.groupBy("record").agg(F.min("q_row").alias("q_row"), *(F.min(c).alias(c) for c in fields))
 
 
-def by_plan(recs: DataFrame, plans: DataFrame, fields: tuple[str, ...] = FIELDS) -> DataFrame:
-    """(record, q_row, field_name, category, bucket, priority) for the categories that any plan names.
+def _sent(plan_rows: DataFrame, plans: DataFrame) -> DataFrame:
+    """Rows that are no more than the plans', broadcast if these are few: their number is counted first."""
+    return F.broadcast(plan_rows) if plans.limit(PLAN_ROWS + 1).count() <= PLAN_ROWS else plan_rows
+
 
-    Plans are few and joined by broadcast only as long as Spark's size check allows it.
-    """
+def by_plan(recs: DataFrame, plans: DataFrame, fields: tuple[str, ...] = FIELDS) -> DataFrame:
+    """(record, q_row, field_name, category, bucket, priority) for the categories that any plan names."""
     wanted = plans.select("field_name", category_key(F.col("category")).alias("category")).distinct()
     pairs = F.array(*(F.struct(F.lit(f).alias("field_name"), F.col(f).alias("category")) for f in fields))
     priority = F.conv(F.substring(F.md5(F.concat(F.lit("quota:"), F.col("record"))), 1, 15), 16, 10).cast("bigint")
     long = recs.withColumn("priority", priority).select("record", "q_row", "priority", F.explode(pairs).alias("p")).select("record", "q_row", "p.field_name", "p.category", "priority", (F.shiftright("priority", 48)).cast("int").alias("bucket"))
-    return long.where(F.col("category").isNotNull()).join(wanted, ["field_name", "category"])
+    return long.where(F.col("category").isNotNull()).join(_sent(wanted, plans), ["field_name", "category"])
 
 
 def quotas(plans: DataFrame, available: DataFrame) -> DataFrame:
@@ -72,14 +76,12 @@ def sample(questions: DataFrame, plans: DataFrame) -> DataFrame:
     below = F.coalesce(F.sum("n").over(Window.partitionBy("field_name", "category").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # at most RANGES rows a category
     ranges = ranges.withColumn("below", below)
     total = ranges.groupBy("field_name", "category").agg(F.sum("n").alias("available"))
-    limits = quotas(plans, total).select("plan_id", "field_name", "category", "key", "quota")
-    cut = (
-        limits.join(ranges.withColumnRenamed("category", "key"), ["field_name", "key"])
-        .where(F.col("below") < F.col("quota"))
-        .select("plan_id", "field_name", "category", "key", "bucket", (F.col("quota") - F.col("below")).alias("take"), "n")
-    )
-    met = long.withColumnRenamed("category", "key").join(cut, ["field_name", "key", "bucket"])
-    whole = met.where(F.col("n") <= F.col("take")).select("plan_id", "category", "q_row")
+    limits = quotas(plans, total).where(F.col("quota") > 0).select("plan_id", "field_name", "category", "key", "quota")
+    last = (F.col("below") < F.col("quota")) & (F.col("below") + F.col("n") >= F.col("quota"))  # the range of the quota's last record
+    cut = limits.join(ranges.withColumnRenamed("category", "key"), ["field_name", "key"]).where(last)
+    cut = cut.select("plan_id", "field_name", "category", "key", F.col("bucket").alias("last"), (F.col("quota") - F.col("below")).alias("take"), "n")
+    met = long.withColumnRenamed("category", "key").join(_sent(cut, plans), ["field_name", "key"]).where(F.col("bucket") <= F.col("last"))
+    whole = (F.col("bucket") < F.col("last")) | (F.col("n") == F.col("take"))
     rank = F.row_number().over(Window.partitionBy("plan_id", "key", "bucket").orderBy("priority", "record"))
-    parted = met.where(F.col("n") > F.col("take")).withColumn("rank", rank).where(F.col("rank") <= F.col("take")).select("plan_id", "category", "q_row")
-    return whole.unionByName(parted)
+    parted = met.where(~whole).withColumn("rank", rank).where(F.col("rank") <= F.col("take"))
+    return met.where(whole).select("plan_id", "category", "q_row").unionByName(parted.select("plan_id", "category", "q_row"))
