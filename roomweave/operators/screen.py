@@ -74,6 +74,46 @@ def mask(points: np.ndarray, width: int, height: int) -> np.ndarray:
     return inside
 
 
+Rows = tuple[int, np.ndarray, np.ndarray]
+
+
+def spans(points: np.ndarray) -> list[Rows]:
+    """The pixels of `mask` as pieces of consecutive rows: first row, first and last column of each (empty where last < first)."""
+    h = hull(np.trunc(points)).astype(np.int64)
+    if len(h) < 3:
+        return [(int(y), np.array([x]), np.array([x])) for x, y in h]
+    ys = np.arange(h[:, 1].min(), h[:, 1].max() + 1)
+    dx, dy = (np.roll(h, -1, axis=0) - h).T[:, :, None]
+    across = dx * (ys - h[:, 1:])
+    left, right = dy[:, 0] < 0, dy[:, 0] > 0
+    first = (h[left, :1] - (-across[left]) // dy[left]).max(axis=0)
+    last = (h[right, :1] + across[right] // dy[right]).min(axis=0)
+    return [(int(ys[0]), first, last)]
+
+
+def pixels(pieces: list[Rows]) -> int:
+    return int(sum(np.maximum(last - first + 1, 0).sum() for _, first, last in pieces))
+
+
+def pixels_under(pieces: list[Rows], over: list[Rows]) -> int:
+    """How many of the pieces' pixels lie in any of the pieces over them, each counted once."""
+    hidden = 0
+    for y, first, last in pieces:
+        meets = [o for o in over if o[0] < y + len(first) and y < o[0] + len(o[1])]
+        if not meets:
+            continue
+        a, b = np.ones((len(meets), len(first)), np.int64), np.zeros((len(meets), len(first)), np.int64)
+        for k, (oy, ofirst, olast) in enumerate(meets):
+            start, end = max(y, oy), min(y + len(first), oy + len(ofirst))
+            a[k, start - y:end - y], b[k, start - y:end - y] = ofirst[start - oy:end - oy], olast[start - oy:end - oy]
+        a, b = np.maximum(a, first), np.minimum(b, last)
+        order = np.argsort(a, axis=0)
+        a, b = np.take_along_axis(a, order, 0), np.take_along_axis(b, order, 0)
+        done = np.vstack([np.full((1, len(first)), -1), np.maximum.accumulate(b, axis=0)[:-1]])
+        hidden += int(np.maximum(b - np.maximum(a, done + 1) + 1, 0).sum())
+    return hidden
+
+
 def covered_area(candidates: DataFrame, occluders: DataFrame, keys: list[str], cfg: Cameras | None = None, depth: str = "min") -> DataFrame:
     """keys, target and covered pixels and their ratios: pixels of a box's outline under outlines of boxes nearer to the camera.
 
@@ -101,11 +141,9 @@ def covered_area(candidates: DataFrame, occluders: DataFrame, keys: list[str], c
                 if places is None or len(places) < 3:
                     rows.append((0.0,) * 5)
                     continue
-                own = mask(np.array([list(p) for p in places]), cfg.image_width, cfg.image_height)
-                top = np.zeros_like(own)
-                for o in over:
-                    top |= mask(np.array([list(p) for p in o]), cfg.image_width, cfg.image_height)
-                n, hidden = float(own.sum()), float((own & top).sum())
+                own = spans(np.array([list(p) for p in places]))
+                top = [piece for o in over for piece in spans(np.array([list(p) for p in o]))]
+                n, hidden = float(pixels(own)), float(pixels_under(own, top))
                 rows.append((n, hidden, n - hidden, hidden / n if n else 0.0, hidden / (cfg.image_width * cfg.image_height)))
             yield pd.concat([pdf[keys].reset_index(drop=True), pd.DataFrame(rows, columns=schema.names[len(keys):])], axis=1)
 

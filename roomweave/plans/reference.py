@@ -289,7 +289,7 @@ def projected_area(s: SparkSession, d: str) -> DataFrame:
 
 @query
 def covered_area(s: SparkSession, d: str) -> DataFrame:
-    return screen.covered_area(_seen(s, d), scenes.occluders(_labels(s, d), _structure(s, d)), ["scene_id", "pose_row", "id"], Cameras(image_width=64, image_height=64))
+    return screen.covered_area(_seen(s, d), scenes.occluders(_labels(s, d), _structure(s, d)), ["scene_id", "pose_row", "id"], Cameras())
 
 
 @query
