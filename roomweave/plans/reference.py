@@ -432,8 +432,8 @@ def generated_questions(s: SparkSession, d: str) -> DataFrame:
 
 @query
 def library_rotation_questions(s: SparkSession, d: str) -> DataFrame:
-    """Questions on what each turn in a room shows, every 90 degrees."""
-    made = library.rotation_questions(_labels(s, d), _structure(s, d), Cameras(rotation_interval=90.0))
+    """Questions on what each turn in a room shows, every 5 degrees."""
+    made = library.rotation_questions(_labels(s, d), _structure(s, d), Cameras())
     return made.select("scene_id", "room", "camera_yaw", "camera_pose_idx", "question_type", "question_id", "answer")
 
 

@@ -2,7 +2,7 @@ import numpy as np
 
 from roomweave.config import Cameras
 from roomweave.operators import screen
-from roomweave.plans import reference
+from roomweave.plans import library, reference
 
 
 def test_spans_are_the_masks_pixels():
@@ -21,3 +21,10 @@ def test_covered_area_is_measured_on_whole_images(spark, small, monkeypatch):
     monkeypatch.setattr(screen, "covered_area", lambda *a, **k: asked.append(a[3] if len(a) > 3 else k.get("cfg") or Cameras()))
     reference.QUERIES["covered_area"](spark, small)
     assert (asked[0].image_width, asked[0].image_height) == (512, 512)
+
+
+def test_library_rotation_makes_all_turns(spark, small, monkeypatch):
+    asked = []
+    monkeypatch.setattr(library, "rotation_questions", lambda labels, structure, camera=None, *a, **k: asked.append(camera or Cameras()) or spark.createDataFrame([], "scene_id string, room string, camera_yaw double, camera_pose_idx int, question_type string, question_id string, answer string"))
+    reference.QUERIES["library_rotation_questions"](spark, small)
+    assert asked[0] == Cameras() and 360 / asked[0].rotation_interval == 72
