@@ -39,6 +39,17 @@ def p1_objects(spark: SparkSession, d: str) -> DataFrame:
     return flat.select("q_row", "objects_pos", "present", "id", "label", "room_index", "volume", *_axes("center", "center"), *_axes("dims", "dims"))
 
 
+def p1_records_whole(spark: SparkSession, d: str) -> DataFrame:
+    """The records' own table with every column that is not repeated; vectors stay arrays of any length."""
+    q = table(spark, d, "questions")
+    return nested.flat_table(q, ["q_row"], [c for c in q.columns if c != "q_row"])
+
+
+def p1_objects_whole(spark: SparkSession, d: str) -> DataFrame:
+    """The objects' table with every column; vectors stay arrays of any length."""
+    return nested.flat_table(table(spark, d, "questions"), ["q_row"], ["objects"], "objects")
+
+
 def p1_pose_targets(spark: SparkSession, d: str) -> DataFrame:
     return nested.flat_table(table(spark, d, "questions"), ["q_row"], ["camera_pose"], "camera_pose.target_objects")
 
@@ -79,4 +90,4 @@ def p6_manifest(spark: SparkSession, d: str) -> DataFrame:
     return made.select("out_group", "files", "records", "bytes")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_records, p1_objects, p1_pose_targets, p1_choices, p3_found, p3_orphans_by_month, p6_found, p6_manifest)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_records, p1_objects, p1_records_whole, p1_objects_whole, p1_pose_targets, p1_choices, p3_found, p3_orphans_by_month, p6_found, p6_manifest)}

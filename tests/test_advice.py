@@ -1,8 +1,10 @@
 import numpy as np
 
+import __spark_entry__ as entry
 from roomweave.config import Cameras
 from roomweave.operators import screen
 from roomweave.plans import library, reference
+from tests.oracle import connect, rows
 
 
 def test_spans_are_the_masks_pixels():
@@ -28,3 +30,20 @@ def test_library_rotation_makes_all_turns(spark, small, monkeypatch):
     monkeypatch.setattr(library, "rotation_questions", lambda labels, structure, camera=None, *a, **k: asked.append(camera or Cameras()) or spark.createDataFrame([], "scene_id string, room string, camera_yaw double, camera_pose_idx int, question_type string, question_id string, answer string"))
     reference.QUERIES["library_rotation_questions"](spark, small)
     assert asked[0] == Cameras() and 360 / asked[0].rotation_interval == 72
+
+
+def test_flat_tables_keep_every_column(spark, small):
+    duck = connect(small)
+    pose = ("position", "target", "yaw", "pitch", "radius")
+    flat = [c[0] for c in duck.execute("SELECT * FROM questions LIMIT 0").description if c[0] not in ("objects", "camera_pose", "choices")]
+    fields = ("id", "label", "center", "dims", "aabb_min", "aabb_max", "room_index", "volume")
+    has = " OR ".join(f"o.{f} IS NOT NULL" for f in fields)
+    want = {
+        "p1_records_whole": f"SELECT {', '.join(flat)}, {', '.join(f'camera_pose.{f} AS camera_pose_{f}' for f in pose)} FROM questions",
+        "p1_objects_whole": f"WITH e AS (SELECT q_row, unnest(range(0, len(objects))) AS p, unnest(objects) AS o FROM questions) SELECT q_row, CAST(p AS INTEGER) AS objects_pos, ({has}) AS present, {', '.join(f'o.{f} AS {f}' for f in fields)} FROM e",
+    }
+    for name, sql in want.items():
+        got, expected = entry.queries()[name](spark, small), duck.execute(sql)
+        columns = [c[0] for c in expected.description]
+        assert sorted(got.columns) == sorted(columns)
+        assert rows(got.columns, got.collect()) == rows(columns, expected.fetchall())
