@@ -22,7 +22,6 @@ import heapq
 import json
 import uuid
 from collections.abc import Iterator
-from decimal import Decimal
 
 import pandas as pd
 import pyarrow as pa
@@ -58,8 +57,12 @@ class _Number(str):
 
 
 def _number(text: str) -> str:
-    value = Decimal(text)
-    return _Number("0" if not value else str(value.normalize()))
+    mantissa, _, power = text.lower().partition("e")
+    whole, _, part = mantissa.removeprefix("-").partition(".")
+    digits = (whole + part).lstrip("0")
+    kept = digits.rstrip("0")
+    exponent = int(power or 0) - len(part) + len(digits) - len(kept)
+    return _Number(f"{'-' * mantissa.startswith('-')}{kept}e{exponent}" if kept else "0")
 
 
 def _refuse(text: str) -> None:

@@ -2,7 +2,7 @@ import numpy as np
 
 import __spark_entry__ as entry
 from roomweave.config import Cameras
-from roomweave.operators import screen
+from roomweave.operators import compaction, screen
 from roomweave.plans import library, reference
 from tests.oracle import connect, rows
 
@@ -47,3 +47,10 @@ def test_flat_tables_keep_every_column(spark, small):
         columns = [c[0] for c in expected.description]
         assert sorted(got.columns) == sorted(columns)
         assert rows(got.columns, got.collect()) == rows(columns, expected.fetchall())
+
+
+def test_numbers_are_told_apart_by_every_digit():
+    d = lambda n: compaction.digest(f'{{"a": {n}}}')
+    long = "1." + "3" * 40
+    assert d(long) != d(long + "1") and d(long) == d(long + "00") and d("1e1000000") is not None
+    assert len({d("100"), d("1e2"), d("1.00E+2"), d("1000e-1")}) == 1 and d("0") == d("-0.0e5") and d("-1") != d("1") and d("10") != d("1")
