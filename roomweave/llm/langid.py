@@ -1,44 +1,56 @@
 """The language of documents and of their segments, by cross-parsing.
 
-For each language a suffix automaton holds all substrings of labelled text. Text is parsed against it into phrases, each
-the longest match from where the last one ended; the fewer phrases a language needs, each weighed with the bits that it
-takes to point into that language's text, the closer the text is to it. The language that needs least wins; the bits that
-the others need more give the confidence. Phrases begin anew at each word (with the blanks around it), so that a worker
-parses each word form once and remembers its phrase counts while memory holds.
+For each language a suffix automaton holds all substrings of its labelled running text, word ends and neighbouring words
+included. A sentence is parsed against it into phrases: each is the longest match from where the last one ended, over as
+many words as the language's text has in a row. The number of phrases, each weighed with the bits that it takes to point
+into that text, is the sentence's cross-parsing entropy; the language that needs fewest bits wins, and the bits that the
+others need more give the confidence. Words that no sample holds are parsed like all others, by the pieces they are made of.
 
-The automata are fitted on at most SAMPLE_ROWS labelled samples, in order of sample_id, and SAMPLE_CHARS characters a
-language: fixed bounds, so that they may be sent to all workers. Everything else covers the whole corpus, in one scan without a shuffle.
+The automata are laid out as tables of (state, letter), in which a match that ends is a move like any other, with a mark that
+a phrase begins. So many sentences are parsed at once, one letter of each a step, in all languages. Sentences of more than
+LANE characters are parsed in pieces of that length, their phrases added up.
+
+The automata are fitted on at most SAMPLE_CHARS characters of labelled samples a language, drawn by hashed sample_id so that
+no order of the samples matters: a fixed bound, so that they may be sent to all workers. Everything else covers the whole
+corpus, in one scan without a shuffle.
 
 A sentence counts as whole from WHOLE words on, bracketed and quoted parts apart; a language is one of a document's if a
 whole sentence is in it with confidence SURE or more. A document without such a sentence has the language of all its words.
 
 Defined cases: a document without words has no language and is no case; unlabelled samples are left out; labels are right
-in any notation of LABELS, with any region; empty tables give no rows; ties go to the first language by code.
+in any notation of LABELS, with any region; empty tables give no rows; ties go to the first language by code; letters of no
+sample count for no language.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roomweave.llm.tokenize import SuffixAutomaton
 from roomweave.llm.words import fold, without_interruptions
 
-SAMPLE_CHARS = 1_000_000
-SAMPLE_ROWS = 50_000
+SAMPLE_CHARS = 50_000
 WHOLE = 6
 SURE = 0.99
 #: Bits a word by which the language of a sentence must be ahead.
-AHEAD = 0.5
-#: Word forms that a worker remembers.
-MEMORY = 500_000
-ROWS = 512
+AHEAD = 3.0
+#: Letters that have a move of their own in the tables, the most frequent ones of the samples.
+LETTERS = 250
+#: Sentences that are parsed at once, and characters of a sentence that are parsed in one go.
+LANES, LANE = 2048, 1024
+#: Characters of texts that are held at once, beyond one text.
+HELD = 1 << 19
 
 #: Notations of the languages of the corpus.
 LABELS = {
@@ -64,55 +76,81 @@ def label_language(label: str | None) -> str | None:
     return _OF_LABEL.get(" ".join(parts)) or _OF_LABEL.get(parts[0])
 
 
+def label_code(label: Column) -> Column:
+    """label_language as a column."""
+    parts = F.split(F.lower(F.trim(label)), r"[\s_\-()]+")
+    known = F.create_map(*(F.lit(x) for pair in _OF_LABEL.items() for x in pair))
+    return F.coalesce(F.try_element_at(known, F.array_join(parts, " ")), F.try_element_at(known, F.get(parts, F.lit(0))))
+
+
 class CrossParser:
     def __init__(self, samples: dict[str, str]):
+        """samples: by language its labelled texts, one a line."""
         self.languages = sorted(samples)
-        self.automata, self.bits = [], []
+        lines = {lang: [f" {' '.join(own)} " for line in samples[lang].split("\n") if (own := _WORD.findall(fold(line)))] for lang in self.languages}
+        seen = Counter(c for own in lines.values() for line in own for c in line)
+        letters = sorted(seen, key=lambda c: (-seen[c], c))[:LETTERS]
+        self.width = len(letters) + 1  # code 0 is any other letter
+        self.codes = np.zeros(0x110000, np.uint8)
+        for n, c in enumerate(letters, 1):
+            self.codes[ord(c)] = n
+        tables, self.bits = [], []
+        self.roots = []
         for lang in self.languages:
-            forms = {f" {w} ".encode() for w in _WORD.findall(fold(samples[lang]))}
-            self.automata.append(SuffixAutomaton(sorted(forms)))
-            self.bits.append(math.log2(2 + len(samples[lang])))
-        self.at: dict[str, int] = {}
-        self.costs = np.zeros((1024, len(self.languages)), np.float32)
-
-    def _phrases(self, automaton: SuffixAutomaton, data: bytes) -> int:
-        """Greedy longest matches; a byte that is nowhere in the language's text is a phrase of its own."""
-        moves = automaton.next
-        state, count = 0, 1
-        for byte in data:
-            to = moves[state].get(byte)
-            if to is None:
-                count += state != 0
-                to = moves[0].get(byte, 0)
-                count += to == 0
-            state = to
-        return count
-
-    def _learn(self, word: str) -> int:
-        if len(self.at) >= MEMORY:
-            self.at.clear()
-        i = self.at[word] = len(self.at)
-        if i >= len(self.costs):
-            self.costs = np.concatenate([self.costs, np.zeros_like(self.costs)])
-        data = f" {word} ".encode()
-        self.costs[i] = [self._phrases(a, data) * b for a, b in zip(self.automata, self.bits, strict=True)]
-        return i
-
-    def word_costs(self, words: list[str]) -> np.ndarray:
-        """Bits of each word in each language."""
-        if len(self.at) + len(words) >= MEMORY:
-            out = []
-            for at in range(0, len(words), MEMORY // 4):
-                self.at.clear()
-                part = words[at : at + MEMORY // 4]
-                out.append(self._rows(part))
-            return np.concatenate(out)
-        return self._rows(words)
-
-    def _rows(self, words: list[str]) -> np.ndarray:
-        get, learn = self.at.get, self._learn
-        places = [i if (i := get(w)) is not None else learn(w) for w in words]
-        return self.costs[places]
+            self.roots.append(sum(map(len, tables)))
+            tables.append(self._table([self._coded(line).tobytes() for line in lines[lang]], self.roots[-1]))
+            self.bits.append(math.log2(2 + sum(map(len, lines[lang]))))
+        self.moves = np.concatenate(tables)
+        if len(self.moves) >= 1 << 30:
+            raise ValueError("the samples are too long for the tables")
+
+    def _coded(self, text: str) -> np.ndarray:
+        return self.codes[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
+
+    def _table(self, lines: list[bytes], root: int) -> np.ndarray:
+        """Moves of an automaton: entry (state, letter) holds twice the place of the next state's row, plus 1 if a phrase begins."""
+        own = SuffixAutomaton(lines)
+        n, width = len(own.next), self.width
+        rows = np.full((n, width), -1, np.int32)
+        for state, moves in enumerate(own.next):
+            for code, to in moves.items():
+                rows[state, code] = to
+        first = rows[0].copy()
+        begun = np.where(first < 0, 0, first)
+        moved = rows >= 0
+        moved[0] = False  # whatever follows the root begins a phrase
+        out = (root + np.where(moved, rows, begun) * width) * 2 + ~moved
+        out[:, 0] = root * 2  # a letter of no sample is no language's
+        return out.astype(np.int32).ravel()
+
+    def phrases(self, sentences: list[str]) -> np.ndarray:
+        """The number of phrases of each sentence (words with a blank before, between and after) in each language."""
+        sizes = np.fromiter(map(len, sentences), np.int64, len(sentences))
+        starts = np.cumsum(sizes) - sizes
+        coded = self._coded("".join(sentences)).astype(np.int32)
+        # pieces of at most LANE characters, longest first
+        parts = -(-sizes // LANE)
+        owner = np.repeat(np.arange(len(sizes)), parts)
+        nth = np.arange(len(owner)) - np.repeat(np.cumsum(parts) - parts, parts)
+        begin, size = starts[owner] + nth * LANE, np.minimum(sizes[owner] - nth * LANE, LANE)
+        order = np.argsort(-size, kind="stable")
+        made = np.zeros((len(self.languages), len(owner)), np.int32)
+        roots = np.array(self.roots, np.int32)[:, None]
+        for at in range(0, len(order), LANES):
+            lanes = order[at : at + LANES]
+            own = size[lanes]
+            letters = coded[np.minimum(begin[lanes] + np.arange(own[0])[:, None], len(coded) - 1)]
+            row = np.broadcast_to(roots, (len(roots), len(lanes))).copy()
+            count = np.zeros_like(row)
+            for k, n in enumerate(np.searchsorted(-own, -np.arange(own[0]), "left").tolist()):  # n lanes have more than k letters
+                if n < row.shape[1]:
+                    made[:, lanes[n : row.shape[1]]] = count[:, n:]
+                    row, count = row[:, :n], count[:, :n]
+                to = self.moves.take(row + letters[k, :n])
+                count += to & 1
+                row = to >> 1
+            made[:, lanes[: row.shape[1]]] = count
+        return np.add.reduceat(made, np.cumsum(parts) - parts, axis=1).T
 
     def judge(self, costs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(best language, its confidence, bits ahead of the next) of each row of summed costs."""
@@ -124,31 +162,30 @@ class CrossParser:
 
     def parse(self, texts: list[str | None]) -> list[list[tuple[int, float, float, int]]]:
         """For each text its sentences: (language, confidence, bits ahead, words); then one entry for all its words, if any."""
-        words: list[str] = []
-        starts: list[int] = []
+        sentences: list[str] = []
+        sizes: list[int] = []
         owner: list[int] = []
+
+        def add(i: int, folded: str) -> None:
+            own = _WORD.findall(folded)
+            if own:
+                sentences.append(f" {' '.join(own)} ")
+                sizes.append(len(own))
+                owner.append(i)
+
         for i, text in enumerate(texts):
             if not text:
                 continue
             for sentence in _SENTENCE.split(fold(_QUOTED.sub(" ", without_interruptions(text)))):
-                own = _WORD.findall(sentence)
-                if own:
-                    starts.append(len(words))
-                    owner.append(i)
-                    words += own
+                add(i, sentence)
             if not owner or owner[-1] != i:  # nothing but quoted or bracketed words
-                own = _WORD.findall(fold(text))
-                if own:
-                    starts.append(len(words))
-                    owner.append(i)
-                    words += own
+                add(i, fold(text))
         out: list[list[tuple[int, float, float, int]]] = [[] for _ in texts]
-        if not words:
+        if not sentences:
             return out
-        per_sentence = np.add.reduceat(self.word_costs(words).astype(np.float64), starts)
-        sizes = np.diff([*starts, len(words)])
+        per_sentence = self.phrases(sentences) * np.array(self.bits)
         best, sure, ahead = self.judge(per_sentence)
-        for i, b, s, a, n in zip(owner, best.tolist(), sure.tolist(), ahead.tolist(), sizes.tolist(), strict=True):
+        for i, b, s, a, n in zip(owner, best.tolist(), sure.tolist(), ahead.tolist(), sizes, strict=True):
             out[i].append((b, s, a, n))
         first = np.flatnonzero(np.diff(owner, prepend=-1))
         all_best, all_sure, all_ahead = self.judge(np.add.reduceat(per_sentence, first))
@@ -207,16 +244,35 @@ def parser(samples: tuple[tuple[str, str], ...]) -> CrossParser:
     return _PARSERS[samples]
 
 
-def fitted(samples: DataFrame, chars: int = SAMPLE_CHARS, rows: int = SAMPLE_ROWS) -> tuple[tuple[str, str], ...]:
-    """Labelled text by language, up to the bounds; all other samples are left on the cluster."""
-    held: dict[str, list[str]] = {}
-    sizes: dict[str, int] = {}
-    for row in samples.select("sample_id", "lang", "text").where("text is not null").orderBy("sample_id").limit(rows).toLocalIterator():
-        lang = label_language(row.lang)
-        if lang and sizes.get(lang, 0) < chars:
-            held.setdefault(lang, []).append(row.text)
-            sizes[lang] = sizes.get(lang, 0) + len(row.text)
-    return tuple((lang, "\n".join(held[lang])[:chars]) for lang in sorted(held))
+def fitted(samples: DataFrame, chars: int = SAMPLE_CHARS) -> tuple[tuple[str, str], ...]:
+    """Labelled text by language, one text a line, `chars` characters a language at most; all other samples stay on the cluster.
+
+    Where a language has more, twice as much is expected to reach the driver, drawn by hashed sample_id, and the first
+    `chars` characters in that order are taken.
+    """
+    labelled = samples.where(F.col("text").isNotNull()).select(label_code(F.col("lang")).alias("lang"), "sample_id", F.translate("text", "\n\r", "  ").alias("text")).where(F.col("lang").isNotNull())
+    sizes = {r.lang: r.n for r in labelled.groupBy("lang").agg(F.sum(F.length("text")).alias("n")).collect()}  # at most as many as LABELS
+    if not any(sizes.values()):
+        return ()
+    order = F.xxhash64("sample_id")
+    rates = F.create_map(*(F.lit(x) for lang, n in sorted(sizes.items()) for x in (lang, 2 * chars / max(1, n))))
+    drawn = labelled.where(F.pmod(order, F.lit(1 << 30)) < F.element_at(rates, F.col("lang")) * (1 << 30)).select("lang", order.alias("order"), F.substring("text", 1, chars).alias("text"))
+    held: dict[str, str] = {}
+    for r in sorted(drawn.collect()):
+        had = held.get(r.lang, "")
+        held[r.lang] = f"{had}{r.text}\n"[:chars] if len(had) < chars else had
+    return tuple(sorted(held.items()))
+
+
+def pieces(batch: pa.RecordBatch, text: int, most: int = HELD) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in runs of at most `most` bytes of text, or of one row that has more."""
+    if batch.num_rows == 0:
+        return
+    sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+    run = np.cumsum(sizes) // most
+    cuts = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), batch.num_rows]
+    for a, b in itertools.pairwise(cuts):
+        yield batch.slice(a, b - a)
 
 
 def _map(documents: DataFrame, columns: list[str], schema: T.StructType, samples: tuple, rows_of) -> DataFrame:
@@ -225,8 +281,7 @@ def _map(documents: DataFrame, columns: list[str], schema: T.StructType, samples
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = parser(context.value)
         for batch in batches:
-            for at in range(0, batch.num_rows, ROWS):
-                part = batch.slice(at, ROWS)
+            for part in pieces(batch, 1):
                 values = [c.to_pylist() for c in part.columns]
                 made = [r for key, parsed, *rest in zip(values[0], own.parse(values[1]), *values[2:], strict=True) for r in rows_of(own, key, parsed, *rest)]
                 yield pa.record_batch([pa.array(c, f) for c, f in zip(zip(*made, strict=True) if made else [()] * len(schema), _arrow(schema), strict=True)], names=schema.names)

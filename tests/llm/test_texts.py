@@ -123,11 +123,70 @@ def test_labels():
     assert [langid.label_language(x) for x in ("en-GB", "ENG", "German ", "uk_UA", "pt-BR", "it", "und", "", None)] == ["en", "en", "de", "uk", "pt", None, None, None, None]
 
 
-def test_memory_is_bounded(monkeypatch):
-    monkeypatch.setattr(langid, "MEMORY", 8)
-    own = langid.CrossParser({"a": "one two three", "b": "uno dos tres"})
-    text = " ".join(f"one w{i} two" for i in range(30))
-    small = own.parse([text])[0][-1]
-    monkeypatch.setattr(langid, "MEMORY", 10_000)
-    assert langid.CrossParser({"a": "one two three", "b": "uno dos tres"}).parse([text])[0][-1] == small
-    assert len(own.at) <= 8
+def greedy(text, lines, known):
+    """Phrases by plain substring search: the longest match from each place on; letters of no sample count for none."""
+    at = n = 0
+    while at < len(text):
+        size = 1
+        while at + size < len(text) and any(text[at : at + size + 1] in line for line in lines):
+            size += 1
+        n += text[at] in known
+        at += size
+    return n
+
+
+def test_phrases_run_over_words():
+    rng = random.Random(3)
+    some = lambda letters, n: " ".join("".join(rng.choice(letters) for _ in range(rng.randint(1, 4))) for _ in range(n))
+    samples = {"a": "\n".join(some("abc", 12) for _ in range(5)), "b": "\n".join(some("bcde", 12) for _ in range(5))}
+    own = langid.CrossParser(samples)
+    lines = {lang: [f" {line} " for line in text.split("\n")] for lang, text in samples.items()}
+    texts = [f" {some('abcdex', rng.randint(1, 30))} " for _ in range(50)] + [lines["a"][2]]
+    assert own.phrases(texts).tolist() == [[greedy(t, lines["a"], set("abcde ")), greedy(t, lines["b"], set("abcde "))] for t in texts]
+    assert own.phrases(texts)[-1][0] == 1  # a whole line is one phrase, not one a word
+
+
+def test_long_sentences_are_parsed_in_pieces(monkeypatch):
+    samples = {"en": "the quick brown fox jumps over the lazy dog", "de": "der schnelle braune fuchs springt hinweg"}
+    own = langid.CrossParser(samples)
+    text = f" {samples['en']} " * 200
+    whole = own.phrases([text])[0]
+    monkeypatch.setattr(langid, "LANE", 100)
+    monkeypatch.setattr(langid, "LANES", 7)
+    parts = -(-len(text) // 100)
+    assert all(abs(a - b) <= parts for a, b in zip(own.phrases([text])[0], whole, strict=True))
+    assert own.languages[own.parse([text])[0][-1][0]] == "en"
+
+
+#: Sentences about what no sample is about; words that some sample holds are taken out before the test.
+STRANGE = {
+    "en": "Yesterday several laughing children were running through flooded gardens, shouting something wonderful about nightingales.",
+    "de": "Gestern liefen lachende Kinder schreiend durch überschwemmte Gärten und erzählten wunderbare Geschichten über Nachtigallen.",
+    "fr": "Quelques enfants couraient joyeusement parmi les jardins mouillés, racontant des merveilles sur leurs oiseaux préférés.",
+    "es": "Algunos niños corrían alegremente entre jardines mojados, gritando maravillas sobre ruiseñores desconocidos.",
+    "pt": "Algumas crianças corriam alegremente entre jardins molhados, gritando maravilhas sobre rouxinóis desconhecidos.",
+    "nl": "Gisteren renden lachende kinderen schreeuwend door overstroomde tuinen en vertelden wonderlijke verhalen over nachtegalen.",
+    "pl": "Wczoraj roześmiane dzieci biegały krzycząc przez zalane ogrody i opowiadały cudowne historie o słowikach.",
+    "uk": "Вчора веселі діти бігали затопленими садками і розповідали чудові історії про солов'їв.",
+}
+
+
+def test_words_that_no_sample_holds(texts):
+    train = {}
+    for r in texts[1].collect():
+        train[r.lang] = train.get(r.lang, "") + "\n" + r.text
+    own = langid.CrossParser(train)
+    known = {w for t in train.values() for w in words.words(t)}
+    asked = {lang: " ".join(w for w in words.words(t) if w not in known) for lang, t in STRANGE.items()}
+    assert all(len(t.split()) >= 6 for t in asked.values())
+    right = lambda ts: sum(own.languages[p[-1][0]] == lang for lang, p in zip(ts, own.parse(list(ts.values())), strict=True))
+    assert right(STRANGE) >= 6 and right(asked) >= 6  # samples of 15,000 characters on other subjects: two of eight are mistaken
+
+
+def test_samples_beyond_the_bound_are_drawn_from_all_languages(spark):
+    rows = [(i, "en" if i < 3000 else "German", f"text number {i} of its language\nand more") for i in range(6000)] + [(9000, "fr", "x" * 5000), (9001, None, "none"), (9002, "it", "other"), (9003, "fr", None)]
+    table = spark.createDataFrame(rows, "sample_id long, lang string, text string")
+    got = dict(langid.fitted(table, 4000))
+    assert set(got) == {"de", "en", "fr"} and all(len(t) == 4000 for t in got.values())
+    assert len(set(got["en"].split("\n"))) > 50 and got == dict(langid.fitted(table.repartition(7).orderBy("lang"), 4000))
+    assert langid.fitted(table.where("lang = 'it'")) == ()
