@@ -24,7 +24,6 @@ sample count for no language.
 
 from __future__ import annotations
 
-import itertools
 import math
 import re
 from collections import Counter
@@ -32,13 +31,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roomweave.llm.tokenize import SuffixAutomaton
-from roomweave.llm.words import fold, without_interruptions
+from roomweave.llm.words import fold, pieces, without_interruptions
 
 SAMPLE_CHARS = 50_000
 WHOLE = 6
@@ -49,8 +47,6 @@ AHEAD = 3.0
 LETTERS = 250
 #: Sentences that are parsed at once, and characters of a sentence that are parsed in one go.
 LANES, LANE = 2048, 1024
-#: Characters of texts that are held at once, beyond one text.
-HELD = 1 << 19
 
 #: Notations of the languages of the corpus.
 LABELS = {
@@ -264,17 +260,6 @@ def fitted(samples: DataFrame, chars: int = SAMPLE_CHARS) -> tuple[tuple[str, st
     return tuple(sorted(held.items()))
 
 
-def pieces(batch: pa.RecordBatch, text: int, most: int = HELD) -> Iterator[pa.RecordBatch]:
-    """The rows of a batch in runs of at most `most` bytes of text, or of one row that has more."""
-    if batch.num_rows == 0:
-        return
-    sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
-    run = np.cumsum(sizes) // most
-    cuts = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), batch.num_rows]
-    for a, b in itertools.pairwise(cuts):
-        yield batch.slice(a, b - a)
-
-
 def _map(documents: DataFrame, columns: list[str], schema: T.StructType, samples: tuple, rows_of) -> DataFrame:
     context = documents.sparkSession.sparkContext.broadcast(samples)  # at most SAMPLE_CHARS characters a language
 

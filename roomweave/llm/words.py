@@ -2,8 +2,17 @@
 
 from __future__ import annotations
 
+import itertools
 import re
 import unicodedata
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+#: Bytes of texts that are held at once, beyond one text.
+HELD = 1 << 19
 
 #: Letters that Unicode does not decompose into a base letter and a mark.
 PLAIN_LETTERS = {"ł": "l", "ø": "o", "đ": "d", "ß": "ss", "æ": "ae", "œ": "oe", "ı": "i", "’": "'", "ʼ": "'", "`": "'"}
@@ -33,3 +42,14 @@ def fold(text: str) -> str:
 
 def words(text: str) -> list[str]:
     return WORD.findall(fold(text))
+
+
+def pieces(batch: pa.RecordBatch, text: int, most: int = HELD) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in runs of at most `most` bytes of text, or of one row that has more."""
+    if batch.num_rows == 0:
+        return
+    sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+    run = np.cumsum(sizes) // most
+    cuts = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), batch.num_rows]
+    for a, b in itertools.pairwise(cuts):
+        yield batch.slice(a, b - a)

@@ -1,6 +1,7 @@
 import os
 import random
 
+import numpy as np
 import pytest
 
 from roomweave.llm import langid, leakage, tokenize, words
@@ -44,8 +45,8 @@ def test_suffix_automaton():
 
 
 def brute(searcher, text):
-    body = searcher._words(text or "")
-    return {i for i, u in enumerate(searcher.units) for k in range(max(1, len(body))) if leakage.in_order(u.words, body[k : k + len(u.words) + leakage.SLACK]) >= leakage.IN_ORDER}
+    body = searcher.words(text or "").tolist()
+    return {i for i, u in searcher.units.items() for k in range(max(1, len(body))) if leakage.in_order(u, body[k : k + len(u) + min(leakage.SLACK, len(u) // 3)]) >= leakage.IN_ORDER}
 
 
 SENTENCES = ["The quick brown fox jumped over nine lazy dogs beside the silent river bank.", "Nobody expected that the harbour master would publish seven secret ledgers before dawn.", "A short formula is said at this point of every sitting.", "Under grey clouds the baker counted forty copper coins twice while his brother slept."]
@@ -66,7 +67,8 @@ def test_leaks_against_brute_force(spark):
     table = spark.createDataFrame(docs, "doc_id long, text string")
     got = sorted((r.doc_id, r.item_id) for r in leakage.leaks(table, items).collect())
     assert got == [(1, 1), (2, 1), (3, 2), (8, 2)]
-    searcher = leakage.Searcher([u for r in items.collect() for u in leakage.units_of(r.item_id, r.text)])
+    block = leakage.Block([(r.item_id, r.text) for r in items.collect()])
+    searcher = leakage.Searcher({u: block.units[u] for u, _ in block.owners})
     found = {}
     for place, unit, *_ in searcher.find([t for _, t in docs]):
         found.setdefault(place, set()).add(unit)
@@ -76,7 +78,7 @@ def test_leaks_against_brute_force(spark):
 def test_blocks_of_items_and_empty_tables(spark):
     items = spark.createDataFrame([(i, s) for i, s in enumerate(SENTENCES)], "item_id long, text string")
     docs = spark.createDataFrame([(1, SENTENCES[0]), (2, SENTENCES[3])], "doc_id long, text string")
-    assert sorted((r.doc_id, r.item_id) for r in leakage.leaks(docs, items, block=1).collect()) == [(1, 0), (2, 3)]
+    assert sorted((r.doc_id, r.item_id) for r in leakage.leaks(docs, items, block_chars=60).collect()) == [(1, 0), (2, 3)]
     assert leakage.leaks(docs.limit(0), items).count() == 0 and leakage.leaks(docs, items.limit(0)).count() == 0
 
 
@@ -86,6 +88,31 @@ def test_a_leak_in_many_copies_is_no_formula(spark):
     assert leakage.leaks(docs, items).count() == 40
 
 
+@pytest.mark.parametrize("n", [6, 8, 10, 12, 15, 20, 30, 40, 60, 71, 72, 100, 200])
+def test_recall_with_a_fifth_of_the_words_replaced(n):
+    rng = random.Random(n)
+    some = lambda k: [f"w{rng.randrange(5000)}" for _ in range(k)]
+    units = [some(n) for _ in range(150)]
+    texts = []
+    for u in units:
+        changed = list(u)
+        for at in rng.sample(range(n), n // 5):
+            changed[at] = f"x{at}"
+        texts.append(" ".join(some(rng.randrange(200)) + changed + some(rng.randrange(200))))
+    found = {(i, u) for i, u, *_ in leakage.Searcher({i: np.array([leakage._number(w) for w in u], np.uint64) for i, u in enumerate(units)}).find(texts)}
+    assert sum((i, i) in found for i in range(150)) >= 0.9 * 150 and all(i == u for i, u in found)
+
+
+def test_last_half_counts_beside_formulas(spark):
+    long = "one tall clerk carried the oldest map of the river delta over five narrow bridges while two younger clerks counted every lantern along the frozen bank"
+    formula = "The house takes note of this answer and moves on."
+    items = spark.createDataFrame([(1, f"{long}. {formula}"), (2, f"{long} again and again. No.")], "item_id long, text string")
+    half = " ".join(long.split()[12:])
+    docs = spark.createDataFrame([(1, f"Something else then {half}. And more words follow."), (2, "Nothing of that sort.")] + [(10 + i, f"Speech number n{i} is about k{i}. {formula}") for i in range(30)], "doc_id long, text string")
+    assert sorted((r.doc_id, r.item_id) for r in leakage.leaks(docs, items, formula_share=0.2).collect()) == [(1, 1), (1, 2)]
+    assert sorted((r.doc_id, r.item_id) for r in leakage.leaks(docs.where("doc_id < 10"), items).collect()) == [(1, 2)]  # no formula here: the sentence is missed
+
+
 def test_folding():
     assert words.words("ﬁne ÉTÉ Łódź​ straße") == ["fine", "ete", "lodz", "strasse"]
     assert words.without_interruptions("a (Hear!) b — Order! — c [x] d") .split() == ["a", "b", "c", "d"]
