@@ -1,4 +1,8 @@
-"""Tables that are kept from batch to batch: every batch writes a new version, the last complete one counts."""
+"""Tables that are kept from batch to batch: every batch writes a new version.
+
+Of tables that are written anew the last complete version counts (`latest`, `save`), of tables that only grow all of them
+(`parts`, `append`). An unfinished write is never seen.
+"""
 
 from __future__ import annotations
 
@@ -24,3 +28,15 @@ def save(table: DataFrame, folder: str) -> DataFrame:
     n = max(_complete(spark, folder), default=0) + 1
     table.write.mode("overwrite").parquet(f"{folder}/version={n}")
     return spark.read.parquet(f"{folder}/version={n}")
+
+
+def parts(spark: SparkSession, folder: str) -> DataFrame | None:
+    """All complete versions of a table that only grows, None if there is none."""
+    known = _complete(spark, folder)
+    return spark.read.parquet(*(f"{folder}/version={n}" for n in known)) if known else None
+
+
+def append(rows: DataFrame, folder: str) -> DataFrame:
+    """Write rows as the next part of a growing table and return the whole table."""
+    save(rows, folder)
+    return parts(rows.sparkSession, folder)
