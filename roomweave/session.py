@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,11 +39,23 @@ def shared_dir(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         where = tempfile.mkdtemp(prefix="roomweave-")
         spark.conf.set("spark.checkpoint.dir", where)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(where)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
         spark.sparkContext.setCheckpointDir(where)
     return where
 
 
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A new folder's name below the shared folder; what will be there is deleted when the driver ends."""
+    where = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(where)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(path)
+    fs.deleteOnExit(path)
+    return where
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Cut the lineage through the shared checkpoint folder, so that a lost executor loses nothing."""
     shared_dir(df.sparkSession)
