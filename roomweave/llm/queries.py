@@ -2,20 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roomweave.functions.normalize import category_key, scan_key, scene_key
 from roomweave.functions.skew import skew_left_join
 from roomweave.llm import langid, leakage, quota_sample, splits, stable_sample, tokenize
-from roomweave.session import shared_dir, table
-
-
-def _folder(spark: SparkSession, name: str) -> str:
-    """A new folder for a kept table: queries begin without an earlier version."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+from roomweave.session import scratch_dir, table
 
 
 def _scene_edges(spark: SparkSession, d: str) -> DataFrame:
@@ -24,7 +17,7 @@ def _scene_edges(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    groups = splits.merge(_scene_edges(spark, d), _folder(spark, "components")).where(F.col("node") != F.col("root")).select(F.col("node").alias("scene"), "root")
+    groups = splits.merge(_scene_edges(spark, d), scratch_dir(spark, "components")).where(F.col("node") != F.col("root")).select(F.col("node").alias("scene"), "root")
     q = table(spark, d, "questions").where(F.col("scene_id").isNotNull()).select("q_row", "scene_id", scene_key(F.col("scene_id")).alias("scene"))
     group = F.coalesce("root", "scene")
     return skew_left_join(q, groups, "scene").where(F.col("scene_id") != group).select("q_row", group.alias("group_scene"))
@@ -32,7 +25,7 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 
 def _split_rows(spark: SparkSession, d: str) -> DataFrame:
     q = table(spark, d, "questions").select("q_row", scene_key(F.col("scene_id")).alias("entity"), category_key(F.col("question_type")).alias("stratum"))
-    ledger = splits.update(q, _scene_edges(spark, d), _folder(spark, "splits"))
+    ledger = splits.update(q, _scene_edges(spark, d), scratch_dir(spark, "splits"))
     return splits.split_of(q, ledger, "entity", F.col("q_row"))
 
 
@@ -56,14 +49,21 @@ def p4_sample(spark: SparkSession, d: str) -> DataFrame:
     return quota_sample.sample(table(spark, d, "questions"), table(spark, d, "sample_plans"))
 
 
+def _ledger(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """The rows by record, and the kept ledger after the backlog of batches and then the last one."""
+    rows = stable_sample.with_record(table(spark, d, "questions")).select(F.col("q_row").alias("row"), "record", F.coalesce("batch_no", F.lit(0)).alias("epoch"))
+    last = table(spark, d, "questions").agg(F.max("batch_no")).first()[0] or 0
+    folder = scratch_dir(spark, "stable-sample")
+    stable_sample.update(rows.where(F.col("epoch") < last), folder)
+    return rows, stable_sample.update(rows.where(F.col("epoch") >= last), folder)
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    rows = stable_sample.named(table(spark, d, "questions")).select("record", "q_row", F.col("batch_no").alias("epoch"))
-    return stable_sample.deliveries(rows, stable_sample.ledger(rows))
+    return stable_sample.deliveries(*_ledger(spark, d))
 
 
 def p5_sample(spark: SparkSession, d: str) -> DataFrame:
-    rows = stable_sample.with_record(table(spark, d, "questions")).select("q_row", "record", F.col("batch_no").alias("epoch"))
-    return stable_sample.sample(rows, stable_sample.ledger(rows)).select("q_row", "first_epoch", "rate")
+    return stable_sample.sample(*_ledger(spark, d)).select(F.col("row").alias("q_row"), "first_epoch", "rate")
 
 
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:

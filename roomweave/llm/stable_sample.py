@@ -1,12 +1,14 @@
 """A reproducible sample that keeps its members as data grow.
 
-A ledger persists each record's first-seen epoch and that epoch's rate, frozen when the epoch is closed. A record is a
-member if a counter-based random number, made from the seed and the record's name alone, is below its frozen rate. Hence
-reruns and other partitionings give the same sample, later epochs never touch earlier members, and all deliveries of a
-record share its fate, late ones included.
+Two kept tables only grow. `rates` holds each epoch's rate, frozen when the epoch is first seen. `records` holds each
+record's first-seen epoch, that epoch's frozen rate and its first delivery. A record is a member if a counter-based random
+number, made from the seed and the record's name alone, is below its frozen rate. Hence reruns and other partitionings give
+the same sample, later epochs never touch earlier members, and all deliveries of a record share its fate, late ones
+included: what the ledger knows is only met again, never changed.
 
 Defined cases: rows without scene or pose index are records of their own, named by their row; null epochs come before all
-others (epoch 0); repeated rows change nothing; an epoch without a given rate gets the default; empty tables give none.
+others (epoch 0); a batch that comes again, and repeated rows, change nothing; a record that comes late gets the frozen rate
+of its own epoch; an epoch without a given rate gets the default; empty tables give none.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from pyspark.sql import functions as F
 
 from roomweave.functions.skew import skew_left_join
 from roomweave.llm.records import named
+from roomweave.session import durable
 from roomweave.sources import versions
 
 SEED = 20_240
@@ -31,26 +34,28 @@ def with_record(questions: DataFrame) -> DataFrame:
     return named(questions).withColumn("record", F.coalesce("record", F.concat(F.lit("#"), F.col("q_row").cast("string"))))
 
 
-def ledger(rows: DataFrame, rates: dict[int, float] | None = None, before: DataFrame | None = None, default: float = RATE) -> DataFrame:
-    """(record, epoch, rate, n) after the rows (record, epoch); what `before` says of epochs and rates stays as it is.
-
-    `n` counts deliveries. Rows only meet as one small entry a record and partition; no list of deliveries is made.
-    """
-    seen = rows.where(F.col("record").isNotNull()).groupBy("record").agg(F.min(F.coalesce("epoch", F.lit(0))).alias("epoch"), F.count(F.lit(1)).alias("n"))
-    rate = F.lit(default)
-    for epoch, r in (rates or {}).items():
-        rate = F.when(F.col("epoch") == epoch, F.lit(float(r))).otherwise(rate)
-    fresh = seen.withColumn("rate", rate).select("record", "epoch", "rate", "n")
-    if before is None:
-        return fresh
-    old = before.select("record", F.col("epoch").alias("old_epoch"), F.col("rate").alias("old_rate"), F.col("n").alias("old_n"))
-    both = fresh.join(old, "record", "full_outer")
-    return both.select("record", F.coalesce("old_epoch", "epoch").alias("epoch"), F.coalesce("old_rate", "rate").alias("rate"), (F.coalesce("n", F.lit(0)) + F.coalesce("old_n", F.lit(0))).alias("n"))
+def _unknown(rows: DataFrame, known: DataFrame | None, key: str) -> DataFrame:
+    """Rows whose key isn't known. The known keys are first cut down to those of the batch, so that a small batch is sent to them."""
+    if known is None:
+        return rows
+    met = known.select(key).join(rows.select(key).distinct(), key, "left_semi")
+    return rows.join(met.distinct(), key, "left_anti")
 
 
 def update(rows: DataFrame, folder: str, rates: dict[int, float] | None = None, default: float = RATE) -> DataFrame:
-    """The kept ledger in `folder` after a batch of rows: read from its last version, written as the next."""
-    return versions.save(ledger(rows, rates, versions.latest(rows.sparkSession, folder), default), folder)
+    """The kept ledger (record, epoch, rate, first_row) in `folder` after a batch of rows (record, row, epoch).
+
+    A batch may hold rows of many epochs. Rows only meet as one small entry a record and partition.
+    """
+    spark = rows.sparkSession
+    rows = rows.where(F.col("record").isNotNull()).select("record", "row", F.coalesce("epoch", F.lit(0)).alias("epoch"))
+    rate = F.lit(float(default))
+    if rates:
+        rate = F.coalesce(F.try_element_at(F.create_map(*(F.lit(x) for e, r in rates.items() for x in (int(e), float(r)))), F.col("epoch")), rate)
+    frozen = versions.append(_unknown(rows.select("epoch").distinct(), versions.parts(spark, f"{folder}/rates"), "epoch").select("epoch", rate.alias("rate")), f"{folder}/rates")
+    seen = rows.groupBy("record").agg(F.min("epoch").alias("epoch"), F.min("row").alias("first_row"))
+    fresh = _unknown(seen, versions.parts(spark, f"{folder}/records"), "record").join(frozen, "epoch")
+    return versions.append(fresh.select("record", "epoch", "rate", "first_row"), f"{folder}/records")
 
 
 def members(entries: DataFrame, seed: int = SEED) -> DataFrame:
@@ -63,13 +68,15 @@ def sample(rows: DataFrame, entries: DataFrame, seed: int = SEED) -> DataFrame:
 
 
 def deliveries(rows: DataFrame, entries: DataFrame) -> DataFrame:
-    """(q_row_a, q_row_b): the pairs of rows that the ledger treats as one record; rows (record, q_row).
+    """(q_row_a, q_row_b): the pairs of rows that the ledger treats as one record; rows (record, row).
 
-    Only records with several deliveries are joined with themselves, by 128 bits of their names. Spark splits that join
-    where a name is hot; each pair comes once, the smaller row first.
+    A row that isn't its record's first delivery is a later one; only records with such rows are joined with themselves.
+    Names meet as 128 bits; Spark splits the joins where a name is hot. Each pair comes once, the smaller row first.
     """
     name = [F.xxhash64("record").alias("h"), F.xxhash64(F.lit(1), "record").alias("g")]
-    keyed = rows.where(F.col("record").isNotNull()).select(*name, "q_row")
-    rows_of = keyed.join(entries.where(F.col("n") > 1).select(*name), ["h", "g"], "left_semi")
-    a, b = rows_of.withColumnRenamed("q_row", "q_row_a"), rows_of.withColumnRenamed("q_row", "q_row_b")
+    first = entries.select(*name, "first_row")
+    met = rows.where(F.col("record").isNotNull()).select(*name, "row").join(first, ["h", "g"])
+    later = durable(met.where(F.col("row") != F.col("first_row")).distinct())
+    members = later.select("h", "g", "row").unionByName(later.select("h", "g", F.col("first_row").alias("row")).distinct())
+    a, b = members.withColumnRenamed("row", "q_row_a"), members.withColumnRenamed("row", "q_row_b")
     return a.join(b, ["h", "g"]).where(F.col("q_row_a") < F.col("q_row_b")).select("q_row_a", "q_row_b")

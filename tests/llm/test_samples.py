@@ -81,35 +81,47 @@ def test_quota_sample(spark, questions):
     assert quota_sample.sample(questions.limit(0), plans).count() == 0 and quota_sample.report(questions, plans.limit(0)).count() == 0
 
 
-def test_stable_sample(spark, questions):
-    rows_ = stable_sample.with_record(questions).select("q_row", "record", F.col("batch_no").alias("epoch"))
-    early = rows_.where("epoch < 3")
-    first = stable_sample.ledger(early, {0: 0.5, 1: 0.3})
-    second = stable_sample.ledger(rows_.where("epoch >= 3"), {0: 0.0, 3: 0.2}, before=first)
+def stable_rows(questions):
+    return stable_sample.with_record(questions).select(F.col("q_row").alias("row"), "record", F.col("batch_no").alias("epoch"))
+
+
+def test_stable_sample(spark, questions, tmp_path):
+    rows_ = stable_rows(questions)
+    rows_ = rows_.unionByName(rows_.where("row % 4 = 0").withColumn("row", F.col("row") + 10_000).withColumn("epoch", F.lit(4)))
+    folder = f"file://{tmp_path}/ledger"
+    first = stable_sample.update(rows_.where("epoch < 3"), folder, {0: 0.5, 1: 0.3})
+    second = stable_sample.update(rows_.where("epoch >= 3"), folder, {0: 0.0, 3: 0.2})
     old = {r.record for r in stable_sample.members(first).collect()}
     new = {r.record for r in stable_sample.members(second).collect()}
     assert old and old <= new
-    sampled = {r.q_row for r in stable_sample.sample(rows_, second).collect()}
-    assert sampled == {r.q_row for r in stable_sample.sample(rows_.repartition(5), second).collect()}
-    assert {r.q_row for r in stable_sample.sample(rows_.withColumn("rate", F.lit("x")), second).collect()} == sampled
-    pairs = stable_sample.deliveries(rows_, stable_sample.ledger(rows_)).collect()
-    assert all((r.q_row_a in sampled) == (r.q_row_b in sampled) for r in pairs) and all(r.q_row_a < r.q_row_b for r in pairs)
-    assert stable_sample.ledger(rows_.limit(0)).count() == 0
+    sampled = {r.row for r in stable_sample.sample(rows_, second).collect()}
+    assert sampled == {r.row for r in stable_sample.sample(rows_.repartition(5), second).collect()}
+    assert {r.row for r in stable_sample.sample(rows_.withColumn("rate", F.lit("x")), second).collect()} == sampled
+    pairs = stable_sample.deliveries(rows_, second).collect()
+    assert pairs and all((r.q_row_a in sampled) == (r.q_row_b in sampled) for r in pairs) and all(r.q_row_a < r.q_row_b for r in pairs)
+    assert stable_sample.update(rows_.limit(0), f"file://{tmp_path}/none").count() == 0
 
 
-def test_repeated_rows_are_all_paired(spark):
-    rows_ = spark.createDataFrame([("r", i) for i in range(6)] + [("s", 9), (None, 10), (None, 11)], "record string, q_row long").withColumn("epoch", F.lit(None).cast("int"))
-    assert stable_sample.deliveries(rows_, stable_sample.ledger(rows_)).count() == 15
-    assert stable_sample.ledger(rows_).where("epoch = 0").count() == 2
+def test_rates_stay_frozen_and_replays_change_nothing(spark, tmp_path):
+    made = lambda *r: spark.createDataFrame(r, "record string, row long, epoch int")
+    folder = f"file://{tmp_path}/ledger"
+    entries = lambda df: sorted((r.record, r.epoch, r.rate, r.first_row) for r in df.collect())
+    stable_sample.update(made(("a", 1, 1), ("b", 2, 1)), folder, {1: 0.5})
+    # a late record of epoch 1 gets the rate that epoch 1 was closed with, whatever is said now or left unsaid
+    assert entries(stable_sample.update(made(("late", 3, 1), ("c", 4, 2), ("a", 5, 2)), folder, {1: 0.9, 2: 0.2})) == [("a", 1, 0.5, 1), ("b", 1, 0.5, 2), ("c", 2, 0.2, 4), ("late", 1, 0.5, 3)]
+    third = entries(stable_sample.update(made(("later", 6, 1), ("later", 6, 1)), folder))
+    assert ("later", 1, 0.5, 6) in third
+    assert entries(stable_sample.update(made(("a", 1, 1), ("b", 2, 1), ("later", 6, 1)), folder, {1: 0.1})) == third
 
 
-def test_kept_tables(spark, questions, tmp_path):
-    rows_ = stable_sample.with_record(questions).select("q_row", "record", F.col("batch_no").alias("epoch"))
-    folder = f"file://{tmp_path}/ledger"
-    first = {r.record: (r.epoch, r.rate) for r in stable_sample.update(rows_.where("epoch >= 2"), folder, {2: 0.5}).collect()}
-    second = {r.record: (r.epoch, r.rate) for r in stable_sample.update(rows_.where("epoch < 2"), folder, {2: 0.9}).collect()}
-    assert all(second[k] == v for k, v in first.items()) and len(second) >= len(first)
+def test_repeated_rows_are_all_paired(spark, tmp_path):
+    rows_ = spark.createDataFrame([("r", i) for i in range(6)] + [("r", 5), ("s", 9), (None, 10), (None, 11)], "record string, row long").withColumn("epoch", F.lit(None).cast("int"))
+    entries = stable_sample.update(rows_, f"file://{tmp_path}/ledger")
+    assert stable_sample.deliveries(rows_, entries).count() == 15
+    assert entries.where("epoch = 0").count() == 2
+
 
+def test_kept_tables(spark, tmp_path):
     parts = f"file://{tmp_path}/components"
     splits.merge(edges(spark, ("c", "b"), ("y", "x")), parts)
     assert {(r.node, r.root) for r in splits.merge(edges(spark, ("b", "a"), ("y", "z")), parts).collect()} == {("a", "a"), ("b", "a"), ("c", "a"), ("x", "x"), ("y", "x"), ("z", "x")}
