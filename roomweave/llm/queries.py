@@ -38,15 +38,15 @@ def p2_split_shares(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    return quota_sample.report(table(spark, d, "questions"), table(spark, d, "sample_plans")).where("exhausted").select("plan_id", "category")
+    return quota_sample.report(quota_sample.reservoirs(table(spark, d, "questions")), table(spark, d, "sample_plans")).where("exhausted").select("plan_id", "category")
 
 
 def p4_report(spark: SparkSession, d: str) -> DataFrame:
-    return quota_sample.report(table(spark, d, "questions"), table(spark, d, "sample_plans")).select("plan_id", "category", "available", "needed", "quota", "exhausted")
+    return quota_sample.report(quota_sample.reservoirs(table(spark, d, "questions")), table(spark, d, "sample_plans")).select("plan_id", "category", "available", "needed", "quota", "share", "exhausted")
 
 
 def p4_sample(spark: SparkSession, d: str) -> DataFrame:
-    return quota_sample.sample(table(spark, d, "questions"), table(spark, d, "sample_plans"))
+    return quota_sample.sample(quota_sample.reservoirs(table(spark, d, "questions")), table(spark, d, "sample_plans"))
 
 
 def _ledger(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:

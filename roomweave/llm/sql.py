@@ -21,12 +21,15 @@ def category_key(c: str) -> str:
 _FIELDS = ("question_type", "answer_type", "answer")
 _RECORDS = f"recs AS (SELECT COALESCE({record_key()}, '#' || q_row) AS record, min(q_row) AS q_row, {', '.join(f'min({category_key(f)}) AS {f}' for f in _FIELDS)} FROM questions GROUP BY 1)"
 _LONG = "long AS (" + " UNION ALL ".join(f"SELECT record, q_row, '{f}' AS field_name, {f} AS key FROM recs WHERE {f} IS NOT NULL" for f in _FIELDS) + ")"
-_QUOTAS = f"""counts AS (SELECT field_name, key, count(*) AS n FROM long GROUP BY 1, 2), exact AS (SELECT p.plan_id, p.field_name, p.category, {category_key('p.category')} AS key, p.min_rows, COALESCE(n, 0) AS available, CAST(p.target_share AS DECIMAL(18, 9)) * p.sample_size AS exact
- FROM sample_plans p LEFT JOIN counts c ON c.field_name = p.field_name AND c.key = {category_key('p.category')}),
- whole AS (SELECT *, floor(exact) AS whole, row_number() OVER (PARTITION BY plan_id ORDER BY exact - floor(exact) DESC, category) AS rk, round(sum(exact) OVER (PARTITION BY plan_id) - sum(floor(exact)) OVER (PARTITION BY plan_id)) AS spare FROM exact),
- quotas AS (SELECT *, CAST(greatest(COALESCE(min_rows, 0), ceil(exact)) AS BIGINT) AS needed, CAST(least(available, greatest(COALESCE(min_rows, 0), whole + CASE WHEN rk <= spare THEN 1 ELSE 0 END)) AS BIGINT) AS quota FROM whole)"""
+_QUOTAS = f"""counts AS (SELECT field_name, key, count(*) AS n FROM long GROUP BY 1, 2),
+ asked AS (SELECT p.plan_id, p.field_name, p.category, {category_key('p.category')} AS key, COALESCE(p.min_rows, 0) AS low, p.target_share, p.sample_size, COALESCE(n, 0) AS available, CAST(round(p.target_share * 1000000000) AS HUGEINT) AS nano FROM sample_plans p LEFT JOIN counts c ON c.field_name = p.field_name AND c.key = {category_key('p.category')}),
+ rates AS (SELECT plan_id, sample_size / 1e9 AS rate, '' AS scarce, sample_size AS times, 1000000000 AS of_ FROM asked UNION SELECT plan_id, available / nano, category, available, nano FROM asked WHERE available > 0 AND nano > 0),
+ scale AS (SELECT plan_id, times, of_ FROM rates QUALIFY row_number() OVER (PARTITION BY plan_id ORDER BY rate, scarce) = 1),
+ parts AS (SELECT a.*, of_, nano * times AS product, nano * times // of_ AS whole, nano * times % of_ AS rest FROM asked a JOIN scale USING (plan_id)),
+ rounded AS (SELECT *, whole + CASE WHEN row_number() OVER (PARTITION BY plan_id ORDER BY rest DESC, category) <= (2 * sum(product) OVER (PARTITION BY plan_id) + of_) // (2 * of_) - sum(whole) OVER (PARTITION BY plan_id) THEN 1 ELSE 0 END AS rounded FROM parts),
+ quotas AS (SELECT *, CAST(greatest(low, ceil(CAST(target_share AS DECIMAL(18, 9)) * sample_size)) AS BIGINT) AS needed, CAST(least(available, greatest(low, rounded)) AS BIGINT) AS quota FROM rounded)"""
 ORACLE["p4_found"] = f"WITH {_RECORDS}, {_LONG}, {_QUOTAS} SELECT plan_id, category FROM quotas WHERE available < needed"
-ORACLE["p4_report"] = f"WITH {_RECORDS}, {_LONG}, {_QUOTAS} SELECT plan_id, category, available, needed, quota, available < needed AS exhausted FROM quotas"
+ORACLE["p4_report"] = f"WITH {_RECORDS}, {_LONG}, {_QUOTAS} SELECT plan_id, category, available, needed, quota, quota / sum(quota) OVER (PARTITION BY plan_id) AS share, available < needed AS exhausted FROM quotas"
 ORACLE["p4_sample"] = f"""WITH {_RECORDS}, {_LONG}, {_QUOTAS}, ranked AS (SELECT *, row_number() OVER (PARTITION BY field_name, key ORDER BY CAST('0x' || substr(md5('quota:' || record), 1, 15) AS BIGINT), record) AS rk FROM long)
  SELECT plan_id, category, q_row FROM ranked r JOIN quotas q ON q.field_name = r.field_name AND q.key = r.key WHERE r.rk <= q.quota"""
 _NAMED = f"named AS (SELECT q_row, batch_no, {record_key()} AS record FROM questions)"

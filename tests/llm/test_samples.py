@@ -69,16 +69,30 @@ def questions(spark):
     return spark.createDataFrame(data, Q)
 
 
+PLAN = "plan_id int, field_name string, category string, target_share double, min_rows int, sample_size long"
+
+
 def test_quota_sample(spark, questions):
-    plans = spark.createDataFrame([(1, "question_type", "object_size", 0.5, 0, 100), (1, "question_type", "mc", 0.25, 40, 100), (1, "question_type", "gone", 0.25, 3, 100), (2, "answer", "A", 0.3, 0, 7)], "plan_id int, field_name string, category string, target_share double, min_rows int, sample_size long")
-    report = {(r.plan_id, r.category): r for r in quota_sample.report(questions, plans).collect()}
+    plans = spark.createDataFrame([(1, "question_type", "object_size", 0.5, 0, 100), (1, "question_type", "mc", 0.25, 40, 100), (1, "question_type", "gone", 0.25, 3, 100), (2, "answer", "A", 0.3, 0, 7)], PLAN)
+    state = quota_sample.reservoirs(questions)
+    report = {(r.plan_id, r.category): r for r in quota_sample.report(state, plans).collect()}
     assert report[1, "object_size"].quota == 50 and report[1, "mc"].quota == 40
     assert report[1, "gone"].exhausted and report[1, "gone"].quota == 0 and report[1, "gone"].needed == 25
-    assert report[2, "A"].needed == 3 and not report[2, "A"].exhausted
-    sample = lambda q: sorted(map(tuple, quota_sample.sample(q, plans).collect()))
+    assert report[2, "A"].needed == 3 and not report[2, "A"].exhausted and report[2, "A"].share == 1.0
+    sample = lambda q: sorted(map(tuple, quota_sample.sample(quota_sample.reservoirs(q), plans).collect()))
     one = sample(questions)
     assert one == sample(questions.repartition(7)) and len(one) == 50 + 40 + 2
-    assert quota_sample.sample(questions.limit(0), plans).count() == 0 and quota_sample.report(questions, plans.limit(0)).count() == 0
+    halves = [quota_sample.reservoirs(questions.where(f"q_row % 2 = {i}")) for i in (0, 1)]
+    assert sorted(map(tuple, quota_sample.sample(quota_sample.merged(*halves), plans).collect())) == one
+    none = quota_sample.reservoirs(questions.limit(0))
+    assert quota_sample.sample(none, plans).count() == 0 and quota_sample.report(state, plans.limit(0)).count() == 0
+
+
+def test_quotas_are_trimmed_uniformly(spark):
+    plans = spark.createDataFrame([(1, "f", "a", 0.5, 0, 100), (1, "f", "b", 0.3, 0, 100), (1, "f", "c", 0.2, 60, 100), (1, "f", "gone", 0.0, None, 100), (2, "f", "a", 0.4, 2, 25), (2, "f", "b", 0.6, None, 25)], PLAN)
+    ranges = spark.createDataFrame([("f", "a", 0, 4), ("f", "a", 9, 6), ("f", "b", 0, 500), ("f", "c", 1, 500)], "field_name string, category string, bucket int, n long")
+    got = {(r.plan_id, r.category): (r.quota, r.needed, round(r.share, 3)) for r in quota_sample.quotas(plans, ranges).collect()}
+    assert got == {(1, "a"): (10, 50, 0.132), (1, "b"): (6, 30, 0.079), (1, "c"): (60, 60, 0.789), (1, "gone"): (0, 0, 0.0), (2, "a"): (10, 10, 0.4), (2, "b"): (15, 15, 0.6)}
 
 
 def stable_rows(questions):
