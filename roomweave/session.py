@@ -60,3 +60,13 @@ def durable(df: DataFrame) -> DataFrame:
     """Cut the lineage through the shared checkpoint folder, so that a lost executor loses nothing."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """Cut the lineage by a table in the shared folder: what is read back brings no constraints of its plan along.
+
+    For iterations: constraints of checkpointed plans grow with every round, and the planner's time with them.
+    """
+    where = f"{scratch_dir(df.sparkSession, 'written')}/table"
+    df.write.parquet(where)
+    return df.sparkSession.read.schema(df.schema).parquet(where)
