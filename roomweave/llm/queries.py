@@ -11,13 +11,19 @@ from roomweave.llm import langid, leakage, quota_sample, splits, stable_sample,
 from roomweave.session import scratch_dir, table
 
 
-def _scene_edges(spark: SparkSession, d: str) -> DataFrame:
+def _scene_edges(spark: SparkSession, d: str) -> list[DataFrame]:
+    """The edges in two batches: all entries before the last recorded month, and those of that month."""
     s = table(spark, d, "scene_sources").withColumn("scene", scene_key(F.col("scene_id")))
-    return s.select(F.explode(F.array(F.struct(F.col("scene").alias("a"), scan_key(F.col("scan_ref")).alias("b")), F.struct(F.col("scene").alias("a"), scene_key(F.col("made_from")).alias("b")))).alias("e")).select("e.a", "e.b").where(F.col("a").isNotNull() & F.col("b").isNotNull())
+    last = table(spark, d, "scene_sources").agg(F.date_trunc("month", F.max("recorded_at"))).first()[0]
+    late = F.coalesce(F.col("recorded_at") >= F.lit(last), F.lit(False))
+    edges = s.select(late.alias("late"), F.explode(F.array(F.struct(F.col("scene").alias("a"), scan_key(F.col("scan_ref")).alias("b")), F.struct(F.col("scene").alias("a"), scene_key(F.col("made_from")).alias("b")))).alias("e")).select("late", "e.a", "e.b").where(F.col("a").isNotNull() & F.col("b").isNotNull())
+    return [edges.where(~F.col("late")).drop("late"), edges.where("late").drop("late")]
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    groups = splits.merge(_scene_edges(spark, d), scratch_dir(spark, "components")).where(F.col("node") != F.col("root")).select(F.col("node").alias("scene"), "root")
+    folder = scratch_dir(spark, "components")
+    groups = [splits.merge(batch, folder) for batch in _scene_edges(spark, d)][-1]
+    groups = groups.where(F.col("node") != F.col("root")).select(F.col("node").alias("scene"), "root")
     q = table(spark, d, "questions").where(F.col("scene_id").isNotNull()).select("q_row", "scene_id", scene_key(F.col("scene_id")).alias("scene"))
     group = F.coalesce("root", "scene")
     return skew_left_join(q, groups, "scene").where(F.col("scene_id") != group).select("q_row", group.alias("group_scene"))
@@ -25,7 +31,8 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 
 def _split_rows(spark: SparkSession, d: str) -> DataFrame:
     q = table(spark, d, "questions").select("q_row", scene_key(F.col("scene_id")).alias("entity"), category_key(F.col("question_type")).alias("stratum"))
-    ledger = splits.update(q, _scene_edges(spark, d), scratch_dir(spark, "splits"))
+    folder = scratch_dir(spark, "splits")
+    ledger = [splits.update(q, batch, folder) for batch in _scene_edges(spark, d)][-1]
     return splits.split_of(q, ledger, "entity", F.col("q_row"))
 
 

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -53,11 +55,41 @@ def test_split_keeps_groups_and_shares(spark):
     a, b = by["train"][0], by["test"][0]
     more = rows_.unionByName(spark.createDataFrame([("new1", "a"), ("new2", "b")], "entity string, stratum string").withColumn("k", F.lit(0).cast("long")))
     later = {r.node: r.split for r in splits.split_ledger(more, edges(spark, (a, b), ("new1", by["validation"][0])), ledger).collect()}
-    assert later[a] == later[b] == splits.QUARANTINE and later["new1"] == "validation" and later["new2"] in {"train", "validation", "test"}
+    full = {r.node: r for r in splits.split_ledger(more, edges(spark, (a, b), ("new1", by["validation"][0])), ledger).collect()}
+    assert later[a] == later[b] == splits.QUARANTINE and (full[a].held, full[b].held) == ("train", "test") and later["new1"] == "validation" and later["new2"] in {"train", "validation", "test"}
     touched = {split[a][0], split[b][0]}
     assert all(later[n] == s for n, (root, s) in split.items() if root not in touched)
 
 
+def test_a_hot_hub_and_a_long_chain(spark, monkeypatch):
+    from roomweave.functions import skew
+
+    monkeypatch.setattr(skew.skew_left_join, "__defaults__", (skew.HOT_KEYS, 20, None))
+    hub = [("zz", f"leaf{i:04d}") for i in range(400)] + [("aa", f"twig{i:04d}") for i in range(400)]
+    chain = [(f"m{(i * 7919) % 300:03d}", f"m{((i + 1) * 7919) % 300:03d}") for i in range(299)]
+    got = {r.node: r.root for r in splits.components(edges(spark, *hub, *chain)).collect()}
+    assert {v for k, v in got.items() if k[:4] == "leaf" or k == "zz"} == {"leaf0000"} and {v for k, v in got.items() if k[:4] == "twig"} == {"aa"}
+    assert {v for k, v in got.items() if k[0] == "m"} == {"m000"} and len(got) == 802 + 300
+
+
+def test_batches_of_edges_give_the_same_components(spark):
+    rng = random.Random(4)
+    pairs = [(f"n{rng.randrange(200):03d}", f"n{rng.randrange(200):03d}") for _ in range(150)]
+    known = None
+    for at in range(0, 150, 50):
+        known = splits.components(edges(spark, *pairs[at : at + 50]), known)
+    strip = lambda df: {(r.node, r.root) for r in df.collect()}
+    assert strip(known) == strip(splits.components(edges(spark, *pairs)))
+
+
+def test_cells_are_placed_by_one_rule_whatever_their_number(spark):
+    for n in (999, 1001, 3000):
+        rows_ = spark.range(n * 4).select(F.concat(F.lit("e"), (F.col("id") % n).cast("string")).alias("entity"), F.when(F.col("id") % 5 == 0, "a").otherwise("b").alias("stratum"))
+        ledger = splits.split_ledger(rows_, edges(spark, ("e1", "e2")))
+        shares = {(r.stratum, r.split): r.share for r in splits.split_report(splits.split_of(rows_, ledger, "entity", F.lit(1))).collect()}
+        assert all(abs(shares[s, "train"] - 0.8) < 0.04 and abs(shares[s, "test"] - 0.1) < 0.04 for s in "ab*")
+
+
 def test_split_of_nothing(spark):
     none = spark.createDataFrame([], "entity string, stratum string")
     assert splits.split_ledger(none, edges(spark, ("a", "b")).limit(0)).count() == 0
