@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roomweave.functions.normalize import path_key, pose_key
 from roomweave.operators import compaction, nested, orphans
-from roomweave.session import shared_dir, table
+from roomweave.session import scratch_dir, table
 
 LINKS = [
     nested.Link("object", "objects", "id", "objects", "id", own=True),
@@ -83,11 +81,16 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return compaction.line_fates(table(spark, d, "small_files")).where(F.col("fate") != "keep")
 
 
+def p6_broken(spark: SparkSession, d: str) -> DataFrame:
+    """The lines of p6_found that are not one complete JSON object."""
+    return p6_found(spark, d).where(F.col("fate") == "broken").select("file_id", "line_no")
+
+
 def p6_manifest(spark: SparkSession, d: str) -> DataFrame:
     """Consolidates the files into the shared folder and returns the manifest, without the files' random names."""
-    out = f"{shared_dir(spark).rstrip('/')}/compacted-{uuid.uuid4().hex}"
+    out = scratch_dir(spark, "compacted")
     made = compaction.compact(spark, table(spark, d, "small_files"), out, target_bytes=8 << 20)
     return made.select("out_group", "files", "records", "bytes")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_records, p1_objects, p1_records_whole, p1_objects_whole, p1_pose_targets, p1_choices, p3_found, p3_orphans_by_month, p6_found, p6_manifest)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_records, p1_objects, p1_records_whole, p1_objects_whole, p1_pose_targets, p1_choices, p3_found, p3_orphans_by_month, p6_found, p6_broken, p6_manifest)}

@@ -407,3 +407,5 @@ _REFS = f"""refs AS (SELECT q_row, 'image_path' AS ref_field, {path_key('image_p
  orphans AS (SELECT q_row, ref_field, t, CASE WHEN n = 0 THEN 'missing' WHEN come THEN 'deleted' ELSE 'late' END AS reason FROM state WHERE NOT there)"""
 ORACLE["p3_found"] = f"WITH {_REFS} SELECT q_row, ref_field, reason FROM orphans"
 ORACLE["p3_orphans_by_month"] = f"WITH {_REFS} SELECT ref_field, strftime(t, '%Y-%m') AS month, reason, count(*) AS orphans FROM orphans GROUP BY 1, 2, 3"
+ORACLE["p6_broken"] = r"""WITH l AS (SELECT file_id, unnest(string_split(ltrim(body, chr(65279)), chr(10))) AS line, generate_subscripts(string_split(body, chr(10)), 1) AS line_no FROM small_files),
+ t AS (SELECT file_id, line_no, rtrim(line, chr(13)) AS line FROM l WHERE regexp_matches(line, '\S')) SELECT file_id, CAST(line_no AS INTEGER) AS line_no FROM t WHERE NOT COALESCE(json_type(CASE WHEN json_valid(line) THEN line END) = 'OBJECT', FALSE)"""

@@ -88,20 +88,37 @@ def test_line_fates(files):
 
 def test_longest_first():
     got = compaction.longest_first([(1, 5), (2, 4), (3, 3), (4, 3), (5, 3)], 2)
+    assert compaction.longest_first([(True, 7, 5), (False, 7, 5)], 2) == [(False, 7, 0), (True, 7, 1)]
     loads = {g: sum(s for f, s in [(1, 5), (2, 4), (3, 3), (4, 3), (5, 3)] if dict(got)[f] == g) for g in (0, 1)}
     assert sorted(loads.values()) == [8, 10] and len(got) == 5
 
 
+def test_schedule_is_balanced_whatever_the_number_of_files(spark):
+    for n in (50, 5000):
+        table = spark.range(n).select(F.col("id").alias("file_id"), F.repeat(F.lit("x"), (F.col("id") % 40 + F.when(F.col("id") % 25 == 0, 400).otherwise(0)).cast("int")).alias("body"))
+        placed, groups = compaction.schedule(table, target_bytes=2000)
+        loads = [r.n for r in placed.groupBy("out_group").agg(F.sum(F.length("body")).alias("n")).collect()]
+        assert placed.count() == n and len(loads) == groups and max(loads) <= 1.25 * sum(loads) / groups
+
+
 def test_compaction_round_trip(spark, files, tmp_path):
     out = f"file://{tmp_path}/out"
-    manifest = compaction.compact(spark, files, out, target_bytes=60, shard_files=2).collect()
+    manifest = compaction.compact(spark, files, out, target_bytes=60).collect()
     assert len(manifest) > 1
     got = sorted(json.dumps(json.loads(r.record), sort_keys=True) for r in compaction.read_compacted(spark, out).collect())
     kept = ['{"a": "1"}', '{"a": 1.0, "b": ["\\u00e9"]}', '{"c": -94.98}', '{"c": 1}', '{"c": true}', '{"c": {"#": "1"}}']
     assert got == sorted(kept)
-    (tmp_path / "out/data/group-unlisted.parquet").write_bytes(next((tmp_path / "out/data").glob("*.parquet")).read_bytes())
+    one = next((tmp_path / "out").glob("data-*/*.parquet"))
+    one.with_name("group-unlisted.parquet").write_bytes(one.read_bytes())
     assert compaction.read_compacted(spark, out).count() == len(kept)
     with pytest.raises(FileExistsError):
         compaction.compact(spark, files, out)
+    twice = compaction.compact(spark, files.unionByName(files.where("file_id > 3")), f"file://{tmp_path}/twice", target_bytes=60)
+    assert sum(r.records for r in twice.collect()) == len(kept)
+    assert len(list((tmp_path / "out").glob("data-*"))) == 1 and not list((tmp_path / "out").glob("_manifest.tmp"))
+    broken = spark.createDataFrame([(1, "{}", 0), (1, "{}", 0)], "file_id long, body string, x int").select((F.col("file_id") / 0).alias("file_id"), F.raise_error(F.lit("lost")).alias("body"))
+    with pytest.raises(Exception, match="lost|ZERO"):
+        compaction.compact(spark, broken, f"file://{tmp_path}/fails")
+    assert not list((tmp_path / "fails").glob("data-*"))
     empty = compaction.compact(spark, files.limit(0), f"file://{tmp_path}/none")
     assert empty.count() == 0 and compaction.read_compacted(spark, f"file://{tmp_path}/none").count() == 0
