@@ -2,8 +2,10 @@
 
 Parent and child keys are put into one long, tagged form and grouped by parent table and key; a group without a parent
 row holds only missing references. For groups with parents, what was there at the time of each reference follows from
-running sums over the parents' arrivals and removals. The sums are taken in two steps, per day and within a day, so that
-no task ever holds more than one day of one key, however hot the key is.
+running sums over the parents' arrivals and removals. References of one key and time find the same and are summed up before
+they meet, so a batch that delivers a hot key again is one entry. The running sums are taken in two steps, per hour and
+within an hour, so that no task ever holds more than the different times of one hour of one key, however hot the key is.
+Only the times that find nothing go back to their references, in a join that Spark splits where a key is hot.
 
 Defined cases: a null key refers to nothing; a null reference time, or a parent row without arrival, is never there; a
 removal at or before the arrival means that the row was never there, though it counts as arrived; a removal at the very
@@ -12,61 +14,67 @@ time of the reference counts as removed, an arrival as arrived. Repeated parent
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+GROUP = ["ref_table", "h", "g"]
+#: Microseconds of an hour.
+HOUR = 3_600_000_000
+
+
+def _keyed(rows: DataFrame) -> DataFrame:
+    """Rows with a key, its name as 128 bits (h, g)."""
+    return rows.where(F.col("ref_key").isNotNull()).withColumns({"h": F.xxhash64("ref_key"), "g": F.xxhash64(F.lit(1), "ref_key")})
+
+
+def _time(at: Column, none: int) -> Column:
+    return F.coalesce(F.unix_micros(at.cast("timestamp")), F.lit(none))
+
+
+def references(children: DataFrame) -> DataFrame:
+    """(ref_table, h, g, child_id, at, t): t is the time in microseconds, a null one before all others."""
+    return _keyed(children).select(*GROUP, "child_id", "at", _time(F.col("at"), -(2**63)).alias("t"))
+
+
 def long_form(children: DataFrame, parents: DataFrame) -> DataFrame:
-    """children (ref_table, ref_key, child_id, at) and parents (ref_table, ref_key, arrived_at, removed_at), one row an event.
+    """(ref_table, h, g, t, there, come, tag): references (tag 1) and the parents' arrivals and removals (tag 0).
 
-    `there` and `come` are what the event adds to the rows that are there and that have ever arrived; `tag` puts
-    parents' events before references of the same time.
+    `there` and `come` are what an event adds to the rows that are there and that have ever arrived.
     """
     shown = F.col("removed_at").isNull() | (F.col("removed_at") > F.col("arrived_at"))
-    event = lambda at, there, come: F.struct(at.alias("at"), there.cast("int").alias("there"), F.lit(come).alias("come"))
-    events = F.array(event(F.col("arrived_at"), shown, 1), event(F.when(shown, F.col("removed_at")), F.lit(-1), 0))
-    arrivals = (
-        parents.where(F.col("ref_key").isNotNull())
-        .select("ref_table", "ref_key", F.explode(events).alias("e"))
-        .select("ref_table", "ref_key", F.lit(None).cast("bigint").alias("child_id"), "e.at", "e.there", "e.come", F.lit(0).alias("tag"))
-        .where(F.col("at").isNotNull() | (F.col("come") == 1))
-    )
-    references = children.where(F.col("ref_key").isNotNull()).select(
-        "ref_table", "ref_key", F.col("child_id").cast("bigint").alias("child_id"), "at", F.lit(0).alias("there"), F.lit(0).alias("come"), F.lit(1).alias("tag")
-    )
-    return references.unionByName(arrivals)
+    event = lambda t, there, come: F.struct(t.alias("t"), there.cast("int").alias("there"), F.lit(come).alias("come"))
+    never = 2**63 - 1
+    events = F.array(event(_time(F.col("arrived_at"), never), shown, 1), event(F.when(shown, F.unix_micros(F.col("removed_at").cast("timestamp"))), F.lit(-1), 0))
+    arrivals = _keyed(parents).select(*GROUP, F.explode(events).alias("e")).select(*GROUP, "e.t", "e.there", "e.come", F.lit(0).alias("tag")).where(F.col("t").isNotNull())
+    return references(children).select(*GROUP, "t", F.lit(0).alias("there"), F.lit(0).alias("come"), F.lit(1).alias("tag")).unionByName(arrivals)
 
 
 def orphan_references(children: DataFrame, parents: DataFrame) -> DataFrame:
     """(ref_table, child_id, at, reason): one row a reference whose key has no row that is there at its time."""
-    # A null time is before all others for references (nothing has arrived) and after all for parents (never arrives).
-    day = F.coalesce(F.unix_date(F.col("at").cast("date")), F.when(F.col("tag") == 1, -(2**31)).otherwise(2**31 - 1).cast("int"))
-    rows = long_form(children, parents).withColumn("day", day)
-    group = ["ref_table", "ref_key"]
-    by_day = rows.groupBy(*group, "day").agg(F.sum("there").alias("there"), F.sum("come").alias("come"), F.max(F.when(F.col("tag") == 0, 1).otherwise(0)).alias("parent"), F.max("tag").alias("asked"))
-    earlier = Window.partitionBy(*group).orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
-    days = (
-        by_day.withColumn("there0", F.coalesce(F.sum("there").over(earlier), F.lit(0)))
+    sums = [F.sum("there").alias("there"), F.sum("come").alias("come"), F.max("parent").alias("parent"), F.max("tag").alias("tag")]
+    times = long_form(children, parents).withColumn("parent", 1 - F.col("tag")).groupBy(*GROUP, "t").agg(*sums).withColumn("hour", F.floor(F.col("t") / HOUR))
+    earlier = Window.partitionBy(*GROUP).orderBy("hour").rowsBetween(Window.unboundedPreceding, -1)
+    hours = (
+        times.groupBy(*GROUP, "hour").agg(*sums)
+        .withColumn("there0", F.coalesce(F.sum("there").over(earlier), F.lit(0)))
         .withColumn("come0", F.coalesce(F.sum("come").over(earlier), F.lit(0)))
-        .withColumn("known", F.max("parent").over(Window.partitionBy(*group)))
-        .where(F.col("asked") == 1)
-        # Days on which all references of a key find the same: settled without looking at single times.
-        .withColumn("settled", F.col("parent") == 0)
-    )
-    state = (
-        F.when(F.col("known") == 0, "missing").when(F.col("there_then") > 0, None).when(F.col("come_then") > 0, "deleted").otherwise("late")
+        .withColumn("known", F.max("parent").over(Window.partitionBy(*GROUP)))
+        # Hours without references, and those in which all references find a row, need no look at single times.
+        .where((F.col("tag") == 1) & ((F.col("parent") == 1) | (F.col("there0") <= 0)))
+        .select(*GROUP, "hour", "there0", "come0", "known")
     )
-    # Most groups are settled and fine: they leave before the join with the single references.
-    open_days = days.where(~(F.col("settled") & (F.col("there0") > 0))).select(*group, "day", "there0", "come0", "known")
-    within = Window.partitionBy(*group, "day").orderBy(F.col("at").asc_nulls_first(), "tag").rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        rows.join(open_days, [*group, "day"])
+    within = Window.partitionBy(*GROUP, "hour").orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
+    reason = F.when(F.col("known") == 0, "missing").when(F.col("there_then") > 0, None).when(F.col("come_then") > 0, "deleted").otherwise("late")
+    found = (
+        times.join(hours, [*GROUP, "hour"])
         .withColumn("there_then", F.col("there0") + F.sum("there").over(within))
         .withColumn("come_then", F.col("come0") + F.sum("come").over(within))
-        .withColumn("reason", state)
+        .withColumn("reason", reason)
         .where((F.col("tag") == 1) & F.col("reason").isNotNull())
-        .select("ref_table", "child_id", "at", "reason")
+        .select(*GROUP, "t", "reason")
     )
+    return references(children).join(found, [*GROUP, "t"]).select("ref_table", "child_id", "at", "reason")
 
 
 def orphan_counts(orphans: DataFrame) -> DataFrame:

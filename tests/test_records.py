@@ -72,6 +72,16 @@ def test_orphans(spark):
     assert orphans.orphan_references(children, parents.limit(0)).where("reason = 'missing'").count() == 12
 
 
+def test_orphans_of_a_hot_key_and_time(spark):
+    parents = spark.createDataFrame([("t", "hot", day(2), day(3)), ("t", "hot", day(4), None)], "ref_table string, ref_key string, arrived_at timestamp, removed_at timestamp")
+    children = spark.range(20_000).select(F.lit("t").alias("ref_table"), F.lit("hot").alias("ref_key"), F.col("id").alias("child_id"), F.when(F.col("id") < 15_000, F.lit(day(3, 7))).otherwise(F.lit(day(4, 7))).alias("at"))
+    got = orphans.orphan_references(children, parents)
+    assert got.count() == got.where("reason = 'deleted' AND child_id < 15000").count() == 15_000
+    # however many references a key and time has, the windows see one row of them
+    sizes = orphans.long_form(children, parents).groupBy(*orphans.GROUP, "t").count()
+    assert sizes.count() == 5
+
+
 BODY = "﻿{\"a\": 1.0, \"b\": [\"é\"]}\r\n\n{\"b\": [\"\\u00e9\"], \"a\": 1}\n{\"a\": NaN}\n[1]\n{\"a\": 1} {\"a\": 2}\n{\"a\": \"1\"}"
 
 
