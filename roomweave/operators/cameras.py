@@ -30,11 +30,25 @@ def camera_height(top: Column, cfg: Cameras) -> Column:
     return F.greatest(F.least(F.coalesce(top, F.lit(cfg.max_camera_height)) + F.when(top.isNull(), 0.0).otherwise(cfg.camera_height_offset), F.lit(cfg.max_camera_height)), F.lit(cfg.min_camera_height))
 
 
+#: Items below are single objects, by rank; those from here up are pairs. No scene has so many objects.
+PAIR_ITEMS = 1 << 40
+
+
+def singles(poses: DataFrame) -> DataFrame:
+    """The poses of single objects, `item` being their rank."""
+    return poses.where(F.col("item") < PAIR_ITEMS)
+
+
+def of_pairs(poses: DataFrame) -> DataFrame:
+    """The poses of pairs, `item` being their pair_ord."""
+    return poses.where(F.col("item") >= PAIR_ITEMS).withColumn("item", F.col("item") - PAIR_ITEMS)
+
+
 def items_of(focus: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(scene_id, item, targets): single objects first, then pairs; a target is an object's id, label and box."""
+    """(scene_id, item, targets): single objects by rank, then pairs from PAIR_ITEMS up; a target is an object's id, label and box."""
     side = lambda p: F.struct(F.col(f"{p}id").alias("id"), F.col(f"{p}label").alias("label"), *(F.col(f"{p}{a}{n}").alias(f"{a}{n}") for a in "xyz" for n in (0, 1)))
-    one = focus.select("scene_id", F.col("rank").alias("item"), F.array(side("")).alias("targets"))
-    two = pairs.select("scene_id", (F.lit(1000) + F.col("pair_ord")).alias("item"), F.array(side("a_"), side("b_")).alias("targets"))
+    one = focus.select("scene_id", F.col("rank").cast("bigint").alias("item"), F.array(side("")).alias("targets"))
+    two = pairs.select("scene_id", (F.lit(PAIR_ITEMS) + F.col("pair_ord")).alias("item"), F.array(side("a_"), side("b_")).alias("targets"))
     return one.unionByName(two)
 
 

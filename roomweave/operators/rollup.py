@@ -127,6 +127,13 @@ def run_summary(q: DataFrame) -> DataFrame:
     return q.agg(F.count(F.lit(1)).alias("total_questions"), F.countDistinct("scene_id").alias("total_scenes"), F.countDistinct("scene_id", "pattern_name").alias("runs"))
 
 
+def generation_summary(scenes: DataFrame, meta: DataFrame) -> dict:
+    """Totals of a batch run: its scenes, those skipped at the gate, its questions. A run that fails ends the job: none is left out."""
+    skipped = [r.scene_id for r in scenes.join(meta.select("scene_id").distinct(), "scene_id", "left_anti").orderBy("scene_id").collect()]  # names of folders
+    n = scenes.count()
+    return {"total_questions": meta.agg(F.coalesce(F.sum("num_questions"), F.lit(0))).first()[0], "total_scenes": n, "scenes_processed": n - len(skipped), "scenes_skipped": skipped, "failed": []}
+
+
 # -- images ------------------------------------------------------------------------------------------------------------
 
 

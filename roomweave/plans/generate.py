@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roomweave.config import MAIN_CAMERAS, MAIN_QUESTIONS, MAX_FOCUS_OBJECTS, MIN_FOCUS_OBJECTS, PATTERNS, Cameras, Questions, Selection
-from roomweave.operators import cameras, questions, scenes, selection
+from roomweave.operators import cameras, questions, rollup, scenes, selection
 from roomweave.session import durable
 
 
@@ -38,7 +38,7 @@ def generate(labels: DataFrame, structure: DataFrame, patterns: tuple = PATTERNS
     parts = []
     for pattern, count, sub in patterns:
         poses = durable(poses_of(pattern, count, sub, items, scene_ids, structure, boxes, hiding, camera).withColumn("pattern_name", F.lit(pattern)))
-        single, pair = poses.where(F.col("item") < 1000), poses.where(F.col("item") >= 1000).withColumn("item", F.col("item") - 1000)
+        single, pair = cameras.singles(poses), cameras.of_pairs(poses)
         multi = poses if pattern == "rotation" else poses.where(F.col("pose") < 3 * count)
         made = questions.for_poses(chosen, pairs, single, pair, multi, question)
         each = poses.dropDuplicates(["scene_id", "pose"]).select("scene_id", "pattern_name", "pose", *cameras.POSE, "target_labels")
@@ -55,3 +55,18 @@ def generate(labels: DataFrame, structure: DataFrame, patterns: tuple = PATTERNS
     return out.withColumn("camera_pose", cameras.pose_struct(F.col("target_labels"))).withColumn("camera_pose_idx", F.col("pose")).drop("known", "object_ranks", "target_labels", *cameras.POSE)
 
 
+
+
+def runs(labels: DataFrame, structure: DataFrame, made: DataFrame, patterns: tuple = PATTERNS, select: Selection | None = None, most: int = MAX_FOCUS_OBJECTS, least: int = MIN_FOCUS_OBJECTS) -> DataFrame:
+    """The metadata of every run, a scene that passes the gate under one pattern, those without questions included.
+
+    made (scene_id, pattern_name, question_type) are the questions that were written.
+    """
+    chosen = durable(focus(labels, structure, select, most, least))
+    in_order = F.transform(F.array_sort(F.collect_list(F.struct("rank", "label"))), lambda r: r["label"])  # at most `most` a scene
+    per_scene = chosen.groupBy("scene_id").agg(in_order.alias("focus_objects"), F.count(F.lit(1)).cast("int").alias("num_focus_objects"))
+    pairs = selection.focus_pairs(chosen).groupBy("scene_id").agg(F.count(F.lit(1)).cast("int").alias("num_focus_pairs"))
+    each = F.explode(F.array(*(F.struct(F.lit(p).alias("pattern_name"), F.lit(n).alias("num_cameras")) for p, n, _ in patterns)))
+    planned = per_scene.join(pairs, "scene_id", "left").select("*", each.alias("p")).select("scene_id", "p.*", "focus_objects", "num_focus_objects", F.coalesce("num_focus_pairs", F.lit(0)).alias("num_focus_pairs"))
+    counted = rollup.run_metadata(made).withColumn("num_questions", F.col("num_questions").cast("int"))
+    return planned.join(counted, ["scene_id", "pattern_name"], "left").withColumns({"num_questions": F.coalesce("num_questions", F.lit(0)), "question_types": F.coalesce("question_types", F.array().cast("array<string>"))})

@@ -43,8 +43,7 @@ def object_questions(labels: DataFrame, structure: DataFrame, pattern: str, came
     all_boxes = durable(scenes.all_objects(labels, structure))
     objects = durable(_ranked(selection.single_objects(scenes.objects_of(labels, structure), select)))
     pairs = durable(selection.valid_pairs(_ranked(all_boxes), 100, select).withColumns({"a_rank": F.col("a_ord"), "b_rank": F.col("b_ord")}))
-    offset = 2_000_000
-    items = cameras.items_of(objects, pairs.withColumn("pair_ord", F.col("pair_ord") + offset - 1000))
+    items = cameras.items_of(objects, pairs)
     hiding = scenes.occluders(labels, structure)
     n = camera.num_cameras_per_item
     found = cameras.sample_poses(pattern, items, n, all_boxes, scenes.room_polygons(structure), scenes.bounds(structure), hiding, camera)
@@ -53,7 +52,7 @@ def object_questions(labels: DataFrame, structure: DataFrame, pattern: str, came
     first = poses.where(F.col("pose") < 3 * n)
     shown = visibility.visible_objects(first.select("scene_id", *view).distinct(), objects.select("scene_id", "rank", "id", *BOX), camera)
     seen = objects.join(shown.select("scene_id", "rank", *view), ["scene_id", "rank"])
-    made = questions.for_poses(objects, pairs, poses.where(F.col("item") < offset), poses.where(F.col("item") >= offset).withColumn("item", F.col("item") - offset), first, question, seen)
+    made = questions.for_poses(objects, pairs, cameras.singles(poses), cameras.of_pairs(poses), first, question, seen)
     return made.withColumn("camera_pose_idx", F.col("pose"))
 
 

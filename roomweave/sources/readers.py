@@ -58,9 +58,9 @@ def structures(spark: SparkSession, root: str, chosen: list[str] | None = None,
 
 def questions(spark: SparkSession, root: str) -> DataFrame:
     """Questions of {root}/{pattern}/{scene}/questions.jsonl with the folders' names; blank lines are no questions."""
-    where = F.regexp_extract("_metadata.file_path", "([^/]+)/([^/]+)/questions\\.jsonl$", 1)
-    scene = F.regexp_extract("_metadata.file_path", "([^/]+)/([^/]+)/questions\\.jsonl$", 2)
-    d = spark.read.schema(schemas.QUESTION).json(f"{root.rstrip('/')}/*/*/questions.jsonl")
+    where = F.regexp_extract("_metadata.file_path", "([^/]+)/([^/]+)/[^/]*questions\\.jsonl$", 1)
+    scene = F.regexp_extract("_metadata.file_path", "([^/]+)/([^/]+)/[^/]*questions\\.jsonl$", 2)
+    d = spark.read.schema(schemas.QUESTION).json(f"{root.rstrip('/')}/*/*/*questions.jsonl")
     return d.withColumn("pattern_name", where).withColumn("scene_id", F.coalesce("scene_id", scene))
 
 
