@@ -52,10 +52,31 @@ def _round4(c: Column) -> Column:
     return F.rint(c * 10000.0) / 10000.0
 
 
+#: Equal ranges of a type's values, of which those with the middle are looked into.
+MEDIAN_RANGES = 4096
+
+
 def numeric_summary(q: DataFrame) -> DataFrame:
-    """count, min, max, mean and exact median per numeric type."""
+    """count, min, max, mean and exact median per numeric type.
+
+    The median comes from counts per value: by MEDIAN_RANGES equal ranges from least to most first, and then among the
+    values of the one or two ranges that hold the middle, so that no task holds all values of a type.
+    """
     v = F.col("v")
-    return numeric_answers(q).groupBy("question_type").agg(F.count(v).alias("n"), _round4(F.min(v)).alias("least"), _round4(F.max(v)).alias("most"), _round4(F.avg(v)).alias("mean"), _round4(F.median(v)).alias("median"))
+    values = numeric_answers(q).where(v.isNotNull()).groupBy("question_type", "v").agg(F.count(F.lit(1)).alias("c"))
+    totals = numeric_answers(q).groupBy("question_type").agg(F.count(v).alias("n"), F.min(v).alias("low"), F.max(v).alias("high"), F.avg(v).alias("mean"))
+    at = F.least(F.coalesce(F.floor(F.try_divide(v - F.col("low"), F.col("high") - F.col("low")) * MEDIAN_RANGES), F.lit(0)), F.lit(MEDIAN_RANGES - 1))
+    ranged = values.join(F.broadcast(totals), "question_type").withColumn("range", at)  # a row per numeric type
+    before = lambda by, order: F.coalesce(F.sum("c").over(Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ends = lambda: (F.floor((F.col("n") - 1) / 2), F.floor(F.col("n") / 2))
+    holds = lambda rank: (F.col("before") <= rank) & (rank < F.col("before") + F.col("c"))
+    lower, upper = ends()
+    ranges = ranged.groupBy("question_type", "range", "n").agg(F.sum("c").alias("c")).withColumn("before", before(["question_type"], "range"))
+    middle = ranges.where(holds(lower) | holds(upper)).select("question_type", "range", F.col("before").alias("below"))
+    near = ranged.join(F.broadcast(middle), ["question_type", "range"]).withColumn("before", F.col("below") + before(["question_type", "range"], "v"))
+    ends_of = near.groupBy("question_type").agg(F.min(F.when(holds(lower), v)).alias("a"), F.min(F.when(holds(upper), v)).alias("b"))
+    made = totals.join(F.broadcast(ends_of), "question_type", "left")
+    return made.select("question_type", "n", _round4(F.col("low")).alias("least"), _round4(F.col("high")).alias("most"), _round4(F.col("mean")).alias("mean"), _round4((F.col("a") + F.col("b")) / 2).alias("median"))
 
 
 def histogram(q: DataFrame, bins: int = 20) -> DataFrame:

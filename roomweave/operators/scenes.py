@@ -67,21 +67,29 @@ def walls(structure: DataFrame, mode: str = "objects") -> DataFrame:
     (for 0 too), exactly two points, a wall of no length is a square of its thickness.
     """
     camera = mode == "cameras"
-    w = structure.select("scene_id", F.posexplode("walls").alias("wall_idx", "w")).select("scene_id", "wall_idx", F.col("w.location").alias("loc"), "w.thickness", "w.height")
-    w = w.where(F.size("loc") == 2 if camera else F.size("loc") >= 2)
     default = lambda c, v: F.coalesce(F.nullif(c, F.lit(0.0)), F.lit(v)) if camera else F.coalesce(c, F.lit(v))
-    half = default(F.col("thickness"), 0.2 if camera else 0.1) / 2
-    ax, ay, bx, by = (F.get(F.get("loc", F.lit(i)), F.lit(j)) for i in (0, 1) for j in (0, 1))
-    length = F.sqrt((bx - ax) * (bx - ax) + (by - ay) * (by - ay))
-    none = F.col("length") < 1e-6
-    w = w.withColumn("length", length).withColumn("half", half).where(F.col("length").isNotNull())
-    px = F.when(none, F.col("half")).otherwise(-F.try_divide(by - ay, F.col("length")) * F.col("half"))
-    py = F.when(none, F.col("half")).otherwise(F.try_divide(bx - ax, F.col("length")) * F.col("half"))
-    if not camera:
-        w = w.where(~none)
-    corners = lambda a, b, p: [a + p, a - p, b + p, b - p]
-    xs, ys = corners(ax, bx, px), corners(ay, by, py)
-    return w.select("scene_id", "wall_idx", F.least(*xs).alias("x0"), F.least(*ys).alias("y0"), F.lit(0.0).alias("z0"), F.greatest(*xs).alias("x1"), F.greatest(*ys).alias("y1"), default(F.col("height"), 2.8).alias("z1"))
+    at = lambda w, i, j: F.get(F.get(w["location"], F.lit(i)), F.lit(j))
+
+    def line(w: Column, i: Column) -> Column:
+        ax, ay, bx, by = at(w, 0, 0), at(w, 0, 1), at(w, 1, 0), at(w, 1, 1)
+        length = F.sqrt((bx - ax) * (bx - ax) + (by - ay) * (by - ay))
+        points = F.when(F.size(w["location"]) == 2 if camera else F.size(w["location"]) >= 2, length)
+        return F.struct(i.alias("wall_idx"), ax.alias("ax"), ay.alias("ay"), bx.alias("bx"), by.alias("by"), points.alias("length"), (default(w["thickness"], 0.2 if camera else 0.1) / 2).alias("half"), default(w["height"], 2.8).alias("z1"))
+
+    def across(w: Column) -> Column:
+        none = w["length"] < 1e-6
+        px = F.when(none, w["half"]).otherwise(-F.try_divide(w["by"] - w["ay"], w["length"]) * w["half"])
+        py = F.when(none, w["half"]).otherwise(F.try_divide(w["bx"] - w["ax"], w["length"]) * w["half"])
+        return F.struct(w.alias("w"), px.alias("px"), py.alias("py"))
+
+    def box(x: Column) -> Column:
+        w = x["w"]
+        xs, ys = ([w[f"a{a}"] + x[f"p{a}"], w[f"a{a}"] - x[f"p{a}"], w[f"b{a}"] + x[f"p{a}"], w[f"b{a}"] - x[f"p{a}"]] for a in "xy")
+        return F.struct(w["wall_idx"].alias("wall_idx"), F.least(*xs).alias("x0"), F.least(*ys).alias("y0"), F.lit(0.0).alias("z0"), F.greatest(*xs).alias("x1"), F.greatest(*ys).alias("y1"), w["z1"].alias("z1"))
+
+    # In one array per scene: conditions on the boxes stay above the generated rows and see plain columns.
+    known = F.filter(F.transform("walls", line), lambda w: w["length"].isNotNull() if camera else w["length"] >= 1e-6)
+    return structure.select("scene_id", F.inline(F.transform(F.transform(known, across), box)))
 
 
 def wall_objects(structure: DataFrame) -> DataFrame:
