@@ -24,17 +24,37 @@ def _axes(column: str, prefix: str) -> list[Column]:
     return [F.get(column, F.lit(i)).alias(f"{prefix}_{a}") for i, a in enumerate("xyz")]
 
 
+#: The records' columns that are neither nested nor times.
+PLAIN = ["question", "answer", "answer_type", "question_type", "question_id", "primary_object", "scene_id", "pattern_name", "camera_pose_idx", "answer_text", "answer_value", "mc_source_type", "room", "camera_yaw", "image", "image_path", "batch_no"]
+
+
+def _micros(column: str, name: str) -> Column:
+    return F.unix_micros(F.col(column).cast("timestamp")).alias(name)
+
+
 def p1_records(spark: SparkSession, d: str) -> DataFrame:
-    """The records' own table: what is not repeated, poses included."""
-    columns = ["scene_id", "question_id", "answer", "camera_pose_idx", "camera_pose"]
+    """The records' own table: all that is not nested, times in microseconds."""
+    columns = [*PLAIN, "created_at", "ingested_at"]
     flat = nested.flat_table(table(spark, d, "questions").select("q_row", *columns), ["q_row"], columns)
-    rest = ["scene_id", "question_id", "answer", "camera_pose_idx", "camera_pose_yaw", "camera_pose_pitch", "camera_pose_radius"]
-    return flat.select("q_row", *rest, *_axes("camera_pose_position", "position"), *_axes("camera_pose_target", "target"))
+    return flat.select("q_row", *PLAIN, _micros("created_at", "created_us"), _micros("ingested_at", "ingested_us"))
+
+
+def p1_poses(spark: SparkSession, d: str) -> DataFrame:
+    """The poses' table, one row a record; vectors as coordinates (`p1_records_whole` has them as arrays of any length)."""
+    flat = nested.flat_table(table(spark, d, "questions").select("q_row", "camera_pose"), ["q_row"], ["camera_pose"])
+    return flat.select("q_row", "camera_pose_yaw", "camera_pose_pitch", "camera_pose_radius", *_axes("camera_pose_position", "position"), *_axes("camera_pose_target", "target"))
 
 
 def p1_objects(spark: SparkSession, d: str) -> DataFrame:
+    """The objects' table; vectors as coordinates (`p1_objects_whole` has them as arrays of any length)."""
     flat = nested.flat_table(table(spark, d, "questions"), ["q_row"], ["objects"], "objects")
-    return flat.select("q_row", "objects_pos", "present", "id", "label", "room_index", "volume", *_axes("center", "center"), *_axes("dims", "dims"))
+    vectors = [c for v in ("center", "dims", "aabb_min", "aabb_max") for c in _axes(v, v)]
+    return flat.select("q_row", "objects_pos", "present", "id", "label", "room_index", "volume", *vectors)
+
+
+def p1_target_links(spark: SparkSession, d: str) -> DataFrame:
+    """Each pose target with the position of the object that it names; -1 if it names none."""
+    return p1_found(spark, d).where("child_kind = 'target'").select("q_row", F.col("child_pos").alias("camera_pose_target_objects_pos"), F.col("link_pos").alias("objects_pos"))
 
 
 def p1_records_whole(spark: SparkSession, d: str) -> DataFrame:
@@ -93,4 +113,4 @@ def p6_manifest(spark: SparkSession, d: str) -> DataFrame:
     return made.select("out_group", "files", "records", "bytes")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_records, p1_objects, p1_records_whole, p1_objects_whole, p1_pose_targets, p1_choices, p3_found, p3_orphans_by_month, p6_found, p6_broken, p6_manifest)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_records, p1_poses, p1_objects, p1_target_links, p1_records_whole, p1_objects_whole, p1_pose_targets, p1_choices, p3_found, p3_orphans_by_month, p6_found, p6_broken, p6_manifest)}

@@ -392,9 +392,12 @@ ORACLE["p1_found"] = f"""WITH q AS (SELECT q_row, objects, camera_pose.target_ob
  SELECT q_row, 'object' AS child_kind, CAST(pos AS INTEGER) AS child_pos, CAST(CASE WHEN o.id IS NULL THEN pos ELSE list_position(ids, trim(o.id)) - 1 END AS INTEGER) AS link_pos FROM o WHERE {_HAS}
  UNION ALL SELECT q_row, 'target', CAST(pos AS INTEGER), CAST(COALESCE(NULLIF(list_position(labels, lower(trim(t))), 0), 0) - 1 AS INTEGER) FROM t WHERE t IS NOT NULL AND trim(t) <> ''"""
 _XYZ = lambda c, n: ", ".join(f"{c}[{i + 1}] AS {n}_{a}" for i, a in enumerate("xyz"))
-ORACLE["p1_records"] = f"SELECT q_row, scene_id, question_id, answer, camera_pose_idx, camera_pose.yaw AS camera_pose_yaw, camera_pose.pitch AS camera_pose_pitch, camera_pose.radius AS camera_pose_radius, {_XYZ('camera_pose.position', 'position')}, {_XYZ('camera_pose.target', 'target')} FROM questions"
+_PLAIN = "question, answer, answer_type, question_type, question_id, primary_object, scene_id, pattern_name, camera_pose_idx, answer_text, answer_value, mc_source_type, room, camera_yaw, image, image_path, batch_no"
+ORACLE["p1_records"] = f"SELECT q_row, {_PLAIN}, epoch_us(created_at) AS created_us, epoch_us(ingested_at) AS ingested_us FROM questions"
+ORACLE["p1_poses"] = f"SELECT q_row, camera_pose.yaw AS camera_pose_yaw, camera_pose.pitch AS camera_pose_pitch, camera_pose.radius AS camera_pose_radius, {_XYZ('camera_pose.position', 'position')}, {_XYZ('camera_pose.target', 'target')} FROM questions"
 ORACLE["p1_objects"] = f"""WITH o AS (SELECT q_row, unnest(range(0, len(objects))) AS pos, unnest(objects) AS o FROM questions)
- SELECT q_row, CAST(pos AS INTEGER) AS objects_pos, ({_HAS}) AS present, o.id AS id, o.label AS label, o.room_index AS room_index, o.volume AS volume, {_XYZ('o.center', 'center')}, {_XYZ('o.dims', 'dims')} FROM o"""
+ SELECT q_row, CAST(pos AS INTEGER) AS objects_pos, ({_HAS}) AS present, o.id AS id, o.label AS label, o.room_index AS room_index, o.volume AS volume, {', '.join(_XYZ(f'o.{v}', v) for v in ('center', 'dims', 'aabb_min', 'aabb_max'))} FROM o"""
+ORACLE["p1_target_links"] = f"SELECT q_row, child_pos AS camera_pose_target_objects_pos, link_pos AS objects_pos FROM ({ORACLE['p1_found']}) WHERE child_kind = 'target'"
 ORACLE["p1_choices"] = """WITH c AS (SELECT q_row, unnest(range(0, len(map_entries(choices)))) AS pos, unnest(map_entries(choices)) AS e FROM questions)
  SELECT q_row, CAST(pos AS INTEGER) AS choices_pos, e.key IS NOT NULL OR e.value IS NOT NULL AS present, e.key AS key, e.value AS value FROM c"""
 ORACLE["p1_pose_targets"] = """WITH t AS (SELECT q_row, unnest(range(0, len(camera_pose.target_objects))) AS pos, unnest(camera_pose.target_objects) AS v FROM questions)
