@@ -41,7 +41,7 @@ from roomweave.llm.words import WORD, fold, pieces, without_interruptions
 from roomweave.session import durable
 
 #: Words of a shingle, and of those of units with fewer than LONG words.
-SHINGLE, SHORT_SHINGLE, LONG = 5, 3, 72
+SHINGLE, SHORT_SHINGLE, LONG = 5, 3, 112
 HASHES = 48
 #: Signature values that a candidate window must share with a unit.
 SHARED = 2
@@ -132,11 +132,8 @@ def _factors() -> tuple[np.ndarray, np.ndarray]:
 
 
 def partition(size: int) -> int:
-    """The bound m of the partition of a unit with so many shingles: 4, 6, 8, 12, 16, 24 and so on."""
-    m = 4
-    while m < size:
-        m += m // 2 if m & (m - 1) == 0 else m // 3
-    return m
+    """The bound m of the partition of a unit with so many shingles: 4, 8, 16 and so on."""
+    return max(4, 1 << (size - 1).bit_length())
 
 
 class Grain:
@@ -161,8 +158,7 @@ class Grain:
         self.part_of = np.zeros(max(units) + 1, np.int64)
         for m, own in self.parts.items():
             self.part_of[own] = m
-        g = math.gcd(*self.parts)
-        self.step = g & -g
+        self.step = min(self.parts) // 2  # so that every window begins and ends at a block
         self.tables = {m: self._table([distinct[i] for i in own]) for m, own in self.parts.items()}
 
     def _table(self, sets: list[np.ndarray]) -> list[np.ndarray]:
@@ -227,7 +223,7 @@ class Grain:
             a, b = cuts[k], cuts[k + 1]
             u, text = int(unit[a]), int(texts[window[a]])
             if held >= CONTAINMENT * self.count[u]:
-                yield text, u, sorted(set((at[a:b] - begin[text] - place[a:b]).tolist()))
+                yield text, u, (at[a:b] - begin[text] - place[a:b]).tolist()
 
 
 class Searcher:
@@ -235,6 +231,7 @@ class Searcher:
 
     def __init__(self, units: dict[int, np.ndarray]):
         self.units = {i: u.tolist() for i, u in units.items()}
+        self.places = {i: _places(u) for i, u in self.units.items()}
         grains = {SHORT_SHINGLE: {i: u for i, u in units.items() if len(u) < LONG}, SHINGLE: {i: u for i, u in units.items() if len(u) >= LONG}}
         self.grains = [Grain(size, own) for size, own in grains.items() if own]
         self.numbers: dict[str, int] = {}
@@ -268,43 +265,53 @@ class Searcher:
         yield from self._search(held)
 
     def _search(self, held: list[tuple[int, np.ndarray]]) -> Iterator[tuple[int, int, float, int]]:
-        seen: set[tuple[int, int]] = set()
         for grain in self.grains:
             own = [(i, n) for i, n in held if len(n) >= grain.size]
             if not own:
                 continue
+            held_at: dict[tuple[int, int], set[int]] = {}  # windows overlap: what two of them say is looked at once
             for k, u, starts in grain.candidates([shingles(n, grain.size) for _, n in own]):
-                if (k, u) in seen:
-                    continue
-                share = self._share(self.units[u], own[k][1], starts)
+                held_at.setdefault((k, u), set()).update(starts)
+            for (k, u), starts in held_at.items():
+                share = self._share(u, own[k][1], sorted(starts))
                 if share >= IN_ORDER:
-                    seen.add((k, u))
                     yield own[k][0], u, share, xxhash.xxh64_intdigest(own[k][1].tobytes()) >> 1
 
-    def _share(self, unit: list[int], numbers: np.ndarray, starts: list[int]) -> float:
-        """The best share of the unit's words in order at any of the starts."""
-        n = len(unit)
-        slack = min(SLACK, n // 3)
+    def _share(self, u: int, numbers: np.ndarray, starts: list[int]) -> float:
+        """The best share of the unit's words in order around any of the starts; 0 where too few words are there at all."""
+        n = len(self.units[u])
+        slack, where, least = min(SLACK, n // 3), self.places[u], math.ceil(IN_ORDER * n - 1e-9)
         best, tried = 0.0, -n - 2 * SLACK
         for start in starts:
             if start - tried >= max(1, slack // 2) and best < IN_ORDER:
                 tried = start
-                best = max(best, in_order(unit, numbers[max(0, start - slack) : max(0, start + n + slack)].tolist()))
+                matches = [where[w] for w in numbers[max(0, start - slack) : max(0, start + n + slack)].tolist() if w in where]
+                if len(matches) >= least:
+                    best = max(best, _common(n, matches) / n)
         return best
 
 
-def in_order(unit: list, window: list) -> float:
-    """The share of the unit's words in its longest common subsequence with the window's (bit-parallel)."""
+def _places(unit: list) -> dict:
+    """The places of each of the unit's words, as bits."""
     where: dict = {}
     for i, w in enumerate(unit):
         where[w] = where.get(w, 0) | 1 << i
-    full = (1 << len(unit)) - 1
-    row = full
-    for w in window:
-        match = where.get(w, 0)
+    return where
+
+
+def _common(n: int, matches: list[int]) -> int:
+    """The length of the longest common subsequence of a unit of n words and a text, given the places of the text's words (bit-parallel)."""
+    row = full = (1 << n) - 1
+    for match in matches:
         both = row & match
         row = ((row + both) | (row - both)) & full
-    return (len(unit) - row.bit_count()) / len(unit)
+    return n - row.bit_count()
+
+
+def in_order(unit: list, window: list) -> float:
+    """The share of the unit's words in its longest common subsequence with the window's."""
+    where = _places(unit)
+    return _common(len(unit), [where[w] for w in window if w in where]) / len(unit)
 
 
 def hits(documents: DataFrame, units: dict[int, np.ndarray], key: str = "doc_id", text: str = "text") -> DataFrame:
