@@ -414,6 +414,20 @@ def mc_choices(s: SparkSession, d: str) -> DataFrame:
     return made.select("scene_id", "question_id", "answer_value", "answer", *(F.col("choices")[x].alias(f"choice_{x.lower()}") for x in "ABCD"))
 
 
+def _letters(made: DataFrame, *scope: str) -> DataFrame:
+    return made.select(*scope, "question_id", "answer_value", "answer", *(F.col("choices")[x].alias(f"choice_{x.lower()}") for x in "ABCD"))
+
+
+@query
+def mc_size_choices(s: SparkSession, d: str) -> DataFrame:
+    return _letters(questions.multiple_choice(questions.object_size(_single(s, d)), ["scene_id"]), "scene_id")
+
+
+@query
+def mc_camera_choices(s: SparkSession, d: str) -> DataFrame:
+    return _letters(questions.multiple_choice(questions.distance_to_camera(_on_poses(_single(s, d), s, d)), ["pose_row"]), "pose_row")
+
+
 @query
 def multi_object_draws(s: SparkSession, d: str) -> DataFrame:
     return questions.draws(_focus(s, d), ["scene_id"], "draw", 5).select("scene_id", "draw", "a_id", "b_id", "x_id", "y_id")

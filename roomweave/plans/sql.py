@@ -295,15 +295,26 @@ ORACLE["multi_object_draws"] = f"""WITH {FOCUS}, u AS (SELECT scene_id, id, rank
 ORACLE["pivot_triples"] = f"""WITH {FOCUS}, u AS (SELECT a.scene_id AS scene_id, a.id AS a_id, a.rank AS a_rank, o.id AS o_id, o.rank AS o_rank, {_uniform('pivot', 'a.scene_id', 'a.id', 'o.id')} AS r FROM focus a JOIN focus o ON a.scene_id = o.scene_id AND a.id <> o.id),
  k AS (SELECT *, row_number() OVER (PARTITION BY scene_id, a_id, a_rank ORDER BY r, o_rank) AS k FROM u) SELECT scene_id, a_id, max(CASE WHEN k = 1 THEN o_id END) AS b_id, max(CASE WHEN k = 2 THEN o_id END) AS x_id FROM k WHERE k <= 2 GROUP BY scene_id, a_id, a_rank HAVING count(*) = 2"""
 
-_U = lambda ch: _uniform(ch, "scene_id", "question_id", "CAST(i AS VARCHAR)")
-_TIMES = f"CASE WHEN {_U('side')} < 0.5 THEN 0.3::DOUBLE + {_U('times')} * 0.4::DOUBLE ELSE 1.3::DOUBLE + {_U('times')} * 1.2::DOUBLE END"
-_TRY = _r2(f"answer_value * ({_TIMES})")
 _SPARE = ", ".join(_r2(f"answer_value + 0.51::DOUBLE * {k}") for k in range(1, 8))
-ORACLE["mc_choices"] = f"""WITH {FOCUS}, m AS (SELECT a.scene_id AS scene_id, 'mc_object_pair_distance_center_' || a.id || '_' || b.id AS question_id, {_r2(_dist('a', 'b'))} AS answer_value FROM {FPAIR}),
- t AS (SELECT *, [CASE WHEN {_TRY} > 0 THEN {_TRY} ELSE {_r2(f"0.1::DOUBLE + {_U('small')} * 1.9::DOUBLE")} END FOR i IN range(0, 50)] || [{_SPARE}] AS c FROM m),
+
+
+def _choices(head: str, scope: str, named: str) -> str:
+    """Four choices for the questions of CTE m (scope, question_id, answer_value); `named` is the scope as texts."""
+    u = lambda ch: _uniform(ch, *named.split(", "), "question_id", "CAST(i AS VARCHAR)")
+    times = f"CASE WHEN {u('side')} < 0.5 THEN 0.3::DOUBLE + {u('times')} * 0.4::DOUBLE ELSE 1.3::DOUBLE + {u('times')} * 1.2::DOUBLE END"
+    tried = _r2(f"answer_value * ({times})")
+    return f"""WITH {head},
+ t AS (SELECT *, [CASE WHEN {tried} > 0 THEN {tried} ELSE {_r2(f"0.1::DOUBLE + {u('small')} * 1.9::DOUBLE")} END FOR i IN range(0, 50)] || [{_SPARE}] AS c FROM m),
  o AS (SELECT *, [c[j] FOR j IN range(1, len(c) + 1) IF list_position(c, c[j]) = j AND c[j] <> answer_value][1:3] AS others FROM t),
- p AS (SELECT *, [s.v FOR s IN list_sort([{{'k': {_uniform('place', 'scene_id', 'question_id', 'CAST(v AS VARCHAR)')}, 'v': v}} FOR v IN [answer_value] || others])] AS vals FROM o)
- SELECT scene_id, question_id, answer_value, substr('ABCD', CAST(list_position(vals, answer_value) AS INTEGER), 1) AS answer, {', '.join(f"CAST(vals[{i + 1}] AS VARCHAR) AS choice_{x}" for i, x in enumerate('abcd'))} FROM p"""
+ p AS (SELECT *, [s.v FOR s IN list_sort([{{'k': {_uniform('place', *named.split(", "), 'question_id', 'CAST(v AS VARCHAR)')}, 'v': v}} FOR v IN [answer_value] || others])] AS vals FROM o)
+ SELECT {scope}, question_id, answer_value, substr('ABCD', CAST(list_position(vals, answer_value) AS INTEGER), 1) AS answer, {', '.join(f"CAST(vals[{i + 1}] AS VARCHAR) AS choice_{x}" for i, x in enumerate('abcd'))} FROM p"""
+
+
+ORACLE["mc_choices"] = _choices(f"{FOCUS}, m AS (SELECT a.scene_id AS scene_id, 'mc_object_pair_distance_center_' || a.id || '_' || b.id AS question_id, {_r2(_dist('a', 'b'))} AS answer_value FROM {FPAIR})", "scene_id", "scene_id")
+ORACLE["mc_size_choices"] = _choices(f"{FOCUS}, {DIMS}, m AS (SELECT a.scene_id AS scene_id, 'mc_object_size_' || a.id || '_' || dim AS question_id, {_r2(_DIM('a'))} AS answer_value FROM focus a, dims)", "scene_id", "scene_id")
+ORACLE["mc_camera_choices"] = _choices(
+    f"{FOCUS}, {POSES}, m AS (SELECT p.pose_row AS pose_row, 'mc_object_distance_to_camera_' || a.id AS question_id, {_r2(_sqrt3('a.cx - p.px', 'a.cy - p.py', 'a.cz - p.pz'))} AS answer_value FROM focus a JOIN poses p ON a.scene_id = p.scene_id)", "pose_row", "CAST(pose_row AS VARCHAR)"
+)
 
 # -- statistics --------------------------------------------------------------------------------------------------------
 
