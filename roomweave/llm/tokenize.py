@@ -28,13 +28,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from roomweave.llm.words import pieces
+
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: how byte_bpe_50k splits text before its merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Pieces that a worker remembers.
 MEMORY = 400_000
-#: Rows of a batch that are held at once.
-ROWS = 512
 
 
 class SuffixAutomaton:
@@ -212,8 +212,7 @@ def encode(documents: DataFrame, key: str = "doc_id", text: str = "text", vocabu
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(vocabulary)
         for batch in batches:
-            for at in range(0, batch.num_rows, ROWS):
-                part = batch.slice(at, ROWS)
+            for part in pieces(batch, 1):
                 lists = [own.encode(t) for t in part.column(1).to_pylist()]
                 sizes = list(itertools.accumulate(map(len, lists), initial=0))
                 flat = pa.array(list(itertools.chain.from_iterable(lists)), pa.int32())
