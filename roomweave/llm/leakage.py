@@ -8,7 +8,7 @@ windows of 2m shingles every m shingles, so that every run of m shingles lies wh
 length; the bound m turns a containment c of a unit in a window into a Jaccard similarity of at least c / (2 + 1 - c) of the
 largest units of the partition, and a MinHash signature of HASHES values finds the window as a candidate by shared values.
 Candidates are then verified by exact shingle containment, and, because a few replaced words don't matter, by the share of
-the unit's words that stand there in the same order.
+the unit's words that stand there in the same order, without a whole phrase missing.
 
 Units that stand in more than FORMULA_SHARE of all documents (and in FORMULA_LEAST at least) are procedural formulas and no
 case; the count is made over the whole corpus, documents of the same words counting once, so that a leaked passage in a
@@ -48,9 +48,10 @@ SHARED = 2
 #: Exact containment of a unit's shingles in the window from which on words are compared in order.
 CONTAINMENT = 0.2
 #: The share of a unit's words that must stand in the same order where shared shingles put the unit, give or take SLACK words
-#: and a third of the unit's at most.
+#: and a third of the unit's at most; so many in a row may be missing.
 IN_ORDER = 0.8
 SLACK = 10
+LOST = 3
 SHORTEST = 6
 FORMULA_SHARE, FORMULA_LEAST = 0.005, 5
 #: Characters of test items that are sent to all tasks at once.
@@ -273,11 +274,11 @@ class Searcher:
             for k, u, starts in grain.candidates([shingles(n, grain.size) for _, n in own]):
                 held_at.setdefault((k, u), set()).update(starts)
             for (k, u), starts in held_at.items():
-                share = self._share(u, own[k][1], sorted(starts))
+                share = self._best(u, own[k][1], sorted(starts))
                 if share >= IN_ORDER:
                     yield own[k][0], u, share, xxhash.xxh64_intdigest(own[k][1].tobytes()) >> 1
 
-    def _share(self, u: int, numbers: np.ndarray, starts: list[int]) -> float:
+    def _best(self, u: int, numbers: np.ndarray, starts: list[int]) -> float:
         """The best share of the unit's words in order around any of the starts; 0 where too few words are there at all."""
         n = len(self.units[u])
         slack, where, least = min(SLACK, n // 3), self.places[u], math.ceil(IN_ORDER * n - 1e-9)
@@ -287,7 +288,7 @@ class Searcher:
                 tried = start
                 matches = [where[w] for w in numbers[max(0, start - slack) : max(0, start + n + slack)].tolist() if w in where]
                 if len(matches) >= least:
-                    best = max(best, _common(n, matches) / n)
+                    best = max(best, _share(n, matches))
         return best
 
 
@@ -299,19 +300,27 @@ def _places(unit: list) -> dict:
     return where
 
 
-def _common(n: int, matches: list[int]) -> int:
-    """The length of the longest common subsequence of a unit of n words and a text, given the places of the text's words (bit-parallel)."""
+def _share(n: int, matches: list[int]) -> float:
+    """The share of a unit's n words in its longest common subsequence with a text, given the places of the text's words (bit-parallel).
+
+    0 if more than LOST words in a row, and more than a tenth of the unit, are missing: a few replaced words don't matter,
+    but a sentence of which a whole phrase is another one is only alike.
+    """
     row = full = (1 << n) - 1
     for match in matches:
         both = row & match
         row = ((row + both) | (row - both)) & full
-    return n - row.bit_count()
+    lost, run = row, 0
+    while lost:
+        lost &= lost << 1
+        run += 1
+    return 0.0 if run > max(LOST, n // 10) else 1 - row.bit_count() / n
 
 
 def in_order(unit: list, window: list) -> float:
-    """The share of the unit's words in its longest common subsequence with the window's."""
+    """The share of the unit's words that stand in the window in the same order, 0 if too many in a row are missing."""
     where = _places(unit)
-    return _common(len(unit), [where[w] for w in window if w in where]) / len(unit)
+    return _share(len(unit), [where[w] for w in window if w in where])
 
 
 def hits(documents: DataFrame, units: dict[int, np.ndarray], key: str = "doc_id", text: str = "text") -> DataFrame:

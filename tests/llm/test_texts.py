@@ -103,6 +103,14 @@ def test_recall_with_a_fifth_of_the_words_replaced(n):
     assert sum((i, i) in found for i in range(150)) >= 0.9 * 150 and all(i == u for i, u in found)
 
 
+def test_a_sentence_with_another_phrase_is_only_alike():
+    unit = [f"w{i}" for i in range(25)]
+    scattered = [x if i % 6 else "new" for i, x in enumerate(unit)]
+    phrase = unit[:10] + ["some", "other", "phrase", "here"] + unit[14:]
+    assert leakage.in_order(unit, unit) == 1.0 and leakage.in_order(unit, scattered) == 0.8 and leakage.in_order(unit, phrase) == 0.0
+    assert leakage.in_order(unit, unit[:10] + ["a", "b", "c"] + unit[13:]) == 0.88 and leakage.in_order(unit, []) == 0.0
+
+
 def test_last_half_counts_beside_formulas(spark):
     long = "one tall clerk carried the oldest map of the river delta over five narrow bridges while two younger clerks counted every lantern along the frozen bank"
     formula = "The house takes note of this answer and moves on."
