@@ -78,7 +78,7 @@ def _jumped(pointers: DataFrame, n: int | None = None) -> DataFrame:
         if n <= HOT_ROWS:  # few pointers: twice as far in the same job
             moved = moved.join(up, "root", "left").select("node", F.coalesce("above", "root").alias("root"), "moved")
         moved = written(moved)
-        if moved.where("moved").isEmpty():
+        if not moved.agg(F.max("moved")).first()[0]:
             return pointers
         pointers = moved.select("node", "root")
 
@@ -92,7 +92,7 @@ def components(edges: DataFrame, known: DataFrame | None = None) -> DataFrame:
     nodes = edges.where(F.col("a") != F.col("b")).select(F.explode(F.array("a", "b")).alias("node")).distinct()
     if known is None:
         merged = forest(edges)
-        return written(nodes.join(merged, "node", "left").select("node", F.coalesce("root", "node").alias("root")))
+        return nodes.join(merged, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
     nodes = written(nodes)
     # what the batch says of known nodes is said of their roots; the large table is only cut down to the batch's nodes
     met = written(known.join(nodes, "node", "left_semi").select("node", "root"))
@@ -102,7 +102,7 @@ def components(edges: DataFrame, known: DataFrame | None = None) -> DataFrame:
         edges = skew_left_join(edges, met.select(F.col("node").alias(side), "root"), side, n_rows=n).withColumn(side, F.coalesce("root", side)).drop("root")
     merged = written(forest(edges))
     fresh = nodes.join(met, "node", "left_anti").select("node", F.col("node").alias("root"))
-    return written(skew_left_join(known.select("node", "root").unionByName(fresh), merged.select(F.col("node").alias("root"), F.col("root").alias("to")), "root").select("node", F.coalesce("to", "root").alias("root")))
+    return skew_left_join(known.select("node", "root").unionByName(fresh), merged.select(F.col("node").alias("root"), F.col("root").alias("to")), "root", n_rows=known.count() + fresh.count()).select("node", F.coalesce("to", "root").alias("root"))
 
 
 def merge(edges: DataFrame, folder: str) -> DataFrame:
@@ -165,8 +165,8 @@ def split_ledger(rows: DataFrame, edges: DataFrame, ledger: DataFrame | None = N
     fresh = decided.where(F.col("least").isNull()).select("root")
     empty = fresh.join(sized.select("root").distinct(), "root", "left_anti").select("root", F.lit(0).alias("stratum"), F.lit(0).cast("bigint").alias("n"))
     assigned = fixed.unionByName(_fill(sized.join(fresh, "root", "left_semi").unionByName(empty), taken, shares, seed))
-    out = skew_left_join(tree, assigned, "root")
-    return written(out.select("node", "root", "split", F.coalesce("held", F.when(F.col("split") != QUARANTINE, F.col("split"))).alias("held")))
+    out = skew_left_join(tree, assigned, "root", n_rows=tree.count())
+    return out.select("node", "root", "split", F.coalesce("held", F.when(F.col("split") != QUARANTINE, F.col("split"))).alias("held"))
 
 
 def update(rows: DataFrame, edges: DataFrame, folder: str, shares: Sequence[tuple[str, float]] = SPLITS, seed: int = 7) -> DataFrame:
