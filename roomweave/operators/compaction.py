@@ -15,7 +15,8 @@ values as an earlier line of any file, by file_id, then line number. Numbers are
 
 Defined cases: null and empty bodies have no lines; blank lines are numbered but are no records; NaN and Infinity are not
 JSON; of a field given twice in one object the last counts; an empty table gives an empty manifest; a file that is
-given twice is written once, and its lines are reported each time; files without id count as one file. Extra columns are
+given twice is written once, and its lines are reported each time; files without id are named by a negative number made
+from their body. Extra columns are
 ignored.
 """
 
@@ -115,12 +116,13 @@ def longest_first(sizes: list[tuple], groups: int) -> list[tuple]:
 
 def schedule(files: DataFrame, target_bytes: int = TARGET_BYTES) -> tuple[DataFrame, int]:
     """((file_id, body, out_group), number of groups) for files (file_id, body); sizes are taken from the bodies themselves."""
-    bodies = files.select(F.col("file_id").cast("bigint").alias("file_id"), "body")
+    named = F.coalesce(F.col("file_id").cast("bigint"), -1 - F.pmod(F.xxhash64("body"), F.lit(1 << 62)))
+    bodies = files.select(named.alias("file_id"), "body")
     size = F.coalesce(F.octet_length("body"), F.lit(0)).cast("bigint")
     total = bodies.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
     groups = max(1, -(-total // target_bytes))
     own = size * CELLS >= target_bytes
-    of_cell = [own.alias("own"), F.when(own, F.coalesce("file_id", F.lit(-1))).otherwise(F.pmod(F.xxhash64("file_id"), F.lit(groups * CELLS))).alias("id")]
+    of_cell = [own.alias("own"), F.when(own, F.col("file_id")).otherwise(F.pmod(F.xxhash64("file_id"), F.lit(groups * CELLS))).alias("id")]
 
     def assign(cells: pd.DataFrame) -> pd.DataFrame:
         made = longest_first(list(zip(cells["own"].tolist(), cells["id"].tolist(), cells["size"].tolist(), strict=True)), groups)
@@ -155,7 +157,7 @@ def parsed_lines(placed: DataFrame) -> DataFrame:
 
 def line_fates(files: DataFrame, target_bytes: int = TARGET_BYTES) -> DataFrame:
     """(file_id, line_no, fate): `broken` and `repeat` lines, and `keep` for those that the output holds."""
-    return _fates(schedule(files, target_bytes)[0]).drop("out_group")
+    return _fates(schedule(files, target_bytes)[0]).drop("out_group", "digest")
 
 
 def _fates(placed: DataFrame) -> DataFrame:
@@ -163,7 +165,7 @@ def _fates(placed: DataFrame) -> DataFrame:
     place = F.struct("file_id", "line_no")
     several = durable(lines.where(F.col("digest").isNotNull()).groupBy("digest").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("digest", "first"))
     fate = F.when(F.col("digest").isNull(), "broken").when(F.col("first").isNotNull() & (F.col("first") != place), "repeat").otherwise("keep")
-    return skew_left_join(lines, several, "digest").select("file_id", "line_no", "out_group", fate.alias("fate"))
+    return skew_left_join(lines, several, "digest").select("file_id", "line_no", "out_group", "digest", fate.alias("fate"))
 
 
 def _uri(folder: str) -> str:
@@ -197,7 +199,7 @@ def compact(spark: SparkSession, files: DataFrame, out_dir: str, target_bytes: i
 def _compact(spark: SparkSession, files: DataFrame, uri: str, fs: pafs.FileSystem, root: str, folder: str, target_bytes: int) -> DataFrame:
     placed, groups = schedule(files, target_bytes)
     fates = durable(_fates(placed))
-    expected = fates.where(F.col("fate") == "keep").select("file_id", "line_no").distinct().count()
+    expected = fates.where(F.col("fate") == "keep").select("digest").distinct().count()
     # Each file's lines that are left out come right before its body: one exchange, no join.
     left_out = fates.where(F.col("fate") != "keep").groupBy("out_group", "file_id").agg(F.collect_list("line_no").alias("left_out"))  # at most the lines of one tiny file
     lists = left_out.select("out_group", "file_id", F.lit(0).alias("part"), F.lit(None).cast("string").alias("body"), "left_out")

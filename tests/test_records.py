@@ -125,6 +125,8 @@ def test_compaction_round_trip(spark, files, tmp_path):
         compaction.compact(spark, files, out)
     twice = compaction.compact(spark, files.unionByName(files.where("file_id > 3")), f"file://{tmp_path}/twice", target_bytes=60)
     assert sum(r.records for r in twice.collect()) == len(kept)
+    nameless = spark.createDataFrame([(None, '{"a": 1}'), (None, '{"a": 2'), (None, '{"a": 1}\n{"a": 3}'), (7, '{"a": 1}'), (None, None)], "file_id long, body string")
+    assert sum(r.records for r in compaction.compact(spark, nameless, f"file://{tmp_path}/nameless").collect()) == 2
     assert len(list((tmp_path / "out").glob("data-*"))) == 1 and not list((tmp_path / "out").glob("_manifest.tmp"))
     broken = spark.createDataFrame([(1, "{}", 0), (1, "{}", 0)], "file_id long, body string, x int").select((F.col("file_id") / 0).alias("file_id"), F.raise_error(F.lit("lost")).alias("body"))
     with pytest.raises(Exception, match="lost|ZERO"):
