@@ -1,9 +1,8 @@
 """Camera poses around focus objects, on spheres, along lines and in room centres.
 
-Poses are found by rejection: a table of numbered attempts per item is made from hashed random numbers, invalid attempts
-leave by joins, and the first accepted ones stay. Random numbers hang on (seed, scene, pattern, item, attempt, channel)
-alone, so reruns and other partitionings give the same poses. Attempts are made in batches; only items that still lack
-poses enter the next, larger batch, up to the allowed number of attempts.
+Poses are found by rejection: numbered attempts per item are made from hashed random numbers, and the first accepted ones
+stay. Random numbers hang on (seed, scene, pattern, item, attempt, channel) alone, so reruns and other partitionings give
+the same poses. Only items that still lack poses get further attempts, up to the allowed number.
 """
 
 from __future__ import annotations
@@ -13,7 +12,7 @@ from pyspark.sql import functions as F
 
 from roomweave.config import MAX_ROTATION_POSES, Cameras
 from roomweave.functions import geometry as g
-from roomweave.operators import visibility
+from roomweave.operators import attempts
 from roomweave.session import durable
 
 SEED = 42
@@ -59,10 +58,6 @@ def aimed(items: DataFrame, cfg: Cameras) -> DataFrame:
     return items.withColumns({f"o{a}": mean(a) for a in "xyz"} | {"height": camera_height(top, cfg)})
 
 
-def _attempts(items: DataFrame, first: int, last: int) -> DataFrame:
-    return items.withColumn("attempt", F.explode(F.sequence(F.lit(first), F.lit(last - 1))))
-
-
 def around(items: DataFrame, cfg: Cameras) -> DataFrame:
     """A horizontal circle: any side, any radius; yaw is the side that the camera stands on."""
     u = lambda c: uniform(c, F.lit("around"), F.col("scene_id"), F.col("item"), F.col("attempt"))
@@ -107,55 +102,39 @@ GENERATORS = {"around": around, "spherical": spherical, "linear": linear}
 POSE = ["px", "py", "pz", "tx", "ty", "tz", "yaw", "pitch", "radius"]
 
 
-def accepted(pattern: str, items: DataFrame, boxes: DataFrame, rooms: DataFrame, bounds: DataFrame, occluders: DataFrame, cfg: Cameras) -> DataFrame:
-    """Attempts (with all their steps) at valid positions that show all targets."""
-    key = ["scene_id", "item", "attempt"]
-    line = pattern == "linear"
-    poses = GENERATORS[pattern](items, cfg)
-    poses = durable(visibility.valid_positions(poses, [*key, "step"], boxes, rooms, bounds, cfg))  # few of many, read several times
-    looks = poses.select(*key, "step", *POSE, F.posexplode("targets").alias("place", "o")).select(*key, "step", *POSE, "place", F.col("o.id").alias("id"), *(F.col(f"o.{a}{n}").alias(f"{a}{n}") for a in "xyz" for n in (0, 1)))
-    shown = visibility.in_fov(looks, cfg, center=not line, border=0 if line else 5)
-    each = [*key, "step", "place"]
-    needed = F.size("targets") * (cfg.linear_num_steps if line else 1)
-    # Only attempts that show all targets at all steps go on to the tests against other boxes.
-    full = lambda d: poses.select(*key, needed.alias("needed")).distinct().join(d.groupBy(key).agg(F.count(F.lit(1)).alias("good")), key).where(F.col("good") == F.col("needed")).select(key)
-    shown = durable(shown.join(full(shown), key, "left_semi"))
-    if not line and not cfg.skip_occlusion_check:
-        clear = visibility.unhidden_corners(shown, occluders, [*each, "id"], cfg).where(F.col("corners") >= cfg.min_visible_corners)
-        shown = shown.join(clear.select(each), each, "left_semi")
-    elif cfg.check_wall_occlusion:
-        hidden = visibility.occlusion(shown, occluders, [*each, "id"], walls_only=True, threshold=0.7 if line else 0.5).where("occluded")
-        shown = shown.join(hidden.select(each), each, "left_anti")
-    return poses.join(full(shown), key, "left_semi")
+def _by_scene(items: DataFrame, boxes: DataFrame, rooms: DataFrame, bounds: DataFrame, occluders: DataFrame) -> DataFrame:
+    """One row a scene: its items and all that attempts are tested against; scenes are small."""
+    sides = lambda at, axes="xyz": F.array(*(at(f"{a}{n}") for n in (0, 1) for a in axes))
+    wall = (F.col("label") == "wall") | F.col("id").startswith("wall")
+    target = lambda t: F.struct(t["id"].alias("id"), sides(lambda c: t[c]).alias("box"))
+    each = F.struct("item", "ox", "oy", "oz", "height", F.transform("targets", target).alias("targets"))
+    found = items.groupBy("scene_id").agg(F.collect_list(each).alias("items"))
+    near = boxes.groupBy("scene_id").agg(F.collect_list(sides(F.col)).alias("boxes"))
+    hiding = occluders.groupBy("scene_id").agg(F.collect_list(F.struct("id", wall.alias("is_wall"), sides(F.col).alias("box"))).alias("occluders"))
+    held = bounds.select("scene_id", F.array("x0", "x1", "y0", "y1").alias("bounds"))
+    for other in (near, hiding, held, rooms.select("scene_id", "polygons")):
+        found = found.join(other, "scene_id", "left")
+    return found
 
 
 def sample_poses(pattern: str, items: DataFrame, count: int, boxes: DataFrame, rooms: DataFrame, bounds: DataFrame, occluders: DataFrame, cfg: Cameras) -> DataFrame:
     """The first `count` accepted poses of every item (for lines, the steps of the first accepted walk), with `seq` from 0.
 
     An item may use 10 x count calls, each of at most max_tries attempts that ends with its first acceptance; so what an
-    item can use is bounded by tries x calls attempts (a line is one call). Batches begin small and grow fourfold, as most
-    items need few attempts; only items that still lack poses go on.
+    item can use is bounded by tries x calls attempts (a line is one call). Attempts are made and tested by arrays, a scene
+    in one place (see attempts); the poses of the accepted ones are made here.
     """
     if pattern not in GENERATORS:
         raise ValueError(f"no pattern {pattern!r}")
     wanted = 1 if pattern == "linear" else count
     limit = cfg.max_tries if pattern == "linear" else cfg.max_tries * 10 * count
-    open_items, found, first, batch = durable(aimed(items, cfg)), None, 0, 4 * wanted
-    boxes, occluders = durable(boxes), durable(occluders)
-    spread = open_items.select("scene_id", "item", "targets", "ox", "oy", "oz", "height")
-    while first < limit:
-        last = min(limit, first + batch)
-        got = accepted(pattern, _attempts(open_items, first, last), boxes, rooms, bounds, occluders, cfg)
-        got = durable(got.select("scene_id", "item", "attempt", "step", "targets", *POSE))
-        found = got if found is None else found.unionByName(got)
-        have = found.select("scene_id", "item", "attempt").distinct().groupBy("scene_id", "item").agg(F.count(F.lit(1)).alias("have"))
-        open_items = durable(spread.join(have.where(F.col("have") >= wanted), ["scene_id", "item"], "left_anti"))
-        first, batch = last, batch * 4
-        if open_items.isEmpty():
-            break
-    rank = F.dense_rank().over(Window.partitionBy("scene_id", "item").orderBy("attempt"))
+    aims = durable(aimed(items, cfg).where(F.col("scene_id").isNotNull()))
+    tasks = 4 * max(items.sparkSession.sparkContext.defaultParallelism, int(items.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4)
+    spread = _by_scene(aims, boxes, rooms, bounds, occluders).repartition(tasks, "scene_id")  # by number: what a scene costs isn't seen in its bytes
+    taken = durable(spread.mapInArrow(attempts.of_batches(pattern, wanted, limit, SEED, cfg), attempts.SCHEMA))
+    found = GENERATORS[pattern](aims.join(taken, ["scene_id", "item"]), cfg).select("scene_id", "item", "attempt", "step", "targets", *POSE)
     order = Window.partitionBy("scene_id", "item").orderBy("attempt", "step")
-    return found.withColumn("_r", rank).where(F.col("_r") <= wanted).drop("_r").withColumn("seq", F.row_number().over(order) - 1)
+    return found.withColumn("seq", F.row_number().over(order) - 1)
 
 
 def rotation_poses(centers: DataFrame, boxes: DataFrame, cfg: Cameras, margin: float = 0.1) -> DataFrame:
