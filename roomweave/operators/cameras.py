@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from roomweave.config import MAX_ROTATION_POSES, Cameras
 from roomweave.functions import geometry as g
 from roomweave.operators import attempts
-from roomweave.session import durable
+from roomweave.session import durable, spread
 
 SEED = 42
 
@@ -129,9 +129,7 @@ def sample_poses(pattern: str, items: DataFrame, count: int, boxes: DataFrame, r
     wanted = 1 if pattern == "linear" else count
     limit = cfg.max_tries if pattern == "linear" else cfg.max_tries * 10 * count
     aims = durable(aimed(items, cfg).where(F.col("scene_id").isNotNull()))
-    tasks = 4 * max(items.sparkSession.sparkContext.defaultParallelism, int(items.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4)
-    spread = _by_scene(aims, boxes, rooms, bounds, occluders).repartition(tasks, "scene_id")  # by number: what a scene costs isn't seen in its bytes
-    taken = durable(spread.mapInArrow(attempts.of_batches(pattern, wanted, limit, SEED, cfg), attempts.SCHEMA))
+    taken = durable(spread(_by_scene(aims, boxes, rooms, bounds, occluders), "scene_id").mapInArrow(attempts.of_batches(pattern, wanted, limit, SEED, cfg), attempts.SCHEMA))
     found = GENERATORS[pattern](aims.join(taken, ["scene_id", "item"]), cfg).select("scene_id", "item", "attempt", "step", "targets", *POSE)
     order = Window.partitionBy("scene_id", "item").orderBy("attempt", "step")
     return found.withColumn("seq", F.row_number().over(order) - 1)

@@ -7,6 +7,7 @@ over names, so they don't hang on partitions.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -189,23 +190,28 @@ def multiple_choice(made: DataFrame, scope: list[str], tries: int = 50) -> DataF
     right = g.round2(F.col("value"))
 
     def one(i: Column) -> Column:
-        times = F.when(u("side", i) < 0.5, 0.3 + u("times", i) * 0.4).otherwise(1.3 + u("times", i) * 1.2)
-        v = g.round2(F.col("right") * times)
+        return g.round2(F.col("right") * F.when(u("side", i) < 0.5, 0.3 + u("times", i) * 0.4).otherwise(1.3 + u("times", i) * 1.2))
+
+    def usable(v: Column, i: Column) -> Column:
         return F.when(v > 0, v).otherwise(g.round2(0.1 + u("small", i) * 1.9))
 
+    def drawn(values: Column) -> Column:
+        return F.filter(F.array_distinct(F.transform(values, usable)), lambda v: v != F.col("right"))
+
     d = made.withColumns({"mc_source_type": F.col("question_type"), "right": right, "question_id": F.concat(F.lit("mc_"), F.col("question_id")), "question_type": F.lit("mc")})
-    drawn = F.filter(F.array_distinct(F.transform(F.sequence(F.lit(0), F.lit(tries - 1)), one)), lambda v: v != F.col("right"))
+    few = min(tries, 5)  # three of them differ nearly always; only other questions draw on
+    d = g.staged(d, {"_few": F.array(*(one(F.lit(i)) for i in range(few)))})
+    d = g.staged(d, {"_drawn": drawn(F.col("_few"))})
     spare = F.array(*(g.round2(F.col("right") + 0.51 * k) for k in range(1, 8)))
-    d = d.withColumn("others", F.slice(F.array_distinct(F.concat(drawn, spare)), 1, 3))
-    shuffled = F.transform(
-        F.array_sort(F.transform(F.concat(F.array("right"), F.col("others")), lambda v: F.struct(uniform("place", *names, F.col("question_id"), v).alias("k"), v.alias("v")))),
-        lambda s: s["v"],
-    )
+    every = F.array_distinct(F.concat(drawn(F.transform(F.sequence(F.lit(0), F.lit(tries - 1)), one)), spare))
+    d = g.staged(d, {"others": F.when(F.size("_drawn") >= 3, F.slice("_drawn", 1, 3)).otherwise(F.slice(every, 1, 3))})
+    placed = F.transform(F.concat(F.array("right"), F.col("others")), lambda v: F.struct(uniform("place", *names, F.col("question_id"), v).alias("k"), v.alias("v")))
+    shuffled = F.transform(F.sort_array(placed), lambda s: s["v"])
     letters = F.array(*(F.lit(x) for x in "ABCD"))
-    d = d.withColumn("values", shuffled).withColumn("choices", F.map_from_arrays(letters, F.transform("values", lambda v: v.cast("string"))))
+    d = g.staged(d, {"values": shuffled}).withColumn("choices", F.map_from_arrays(letters, F.transform("values", lambda v: v.cast("string"))))
     listed = F.concat_ws("\n", *(F.concat(F.lit(f"({x}) "), F.col("values")[i].cast("string")) for i, x in enumerate("ABCD")))
     d = d.withColumn("answer", F.element_at(letters, F.array_position("values", F.col("right")).cast("int")))
-    return d.withColumn("answer_value", F.col("right")).withColumn("question", _text(F.concat(F.col("base"), F.lit("\n\n"), listed), LETTER_POST, LETTER_OUT)).drop("right", "others", "values")
+    return d.withColumn("answer_value", F.col("right")).withColumn("question", _text(F.concat(F.col("base"), F.lit("\n\n"), listed), LETTER_POST, LETTER_OUT)).drop("right", "others", "values", "_few", "_drawn")
 
 
 #: Constructors by question type; mc wraps the three types that have a `base`.
@@ -221,29 +227,58 @@ CONSTRUCTORS = {
 KEEP = ["id", "label", "cx", "cy", "cz", "dx", "dy", "dz", "rank"]
 
 
-def draws(focus: DataFrame, scope: list[str], channel: str, count: int, size: int = 4) -> DataFrame:
-    """`count` samples of distinct objects a scope: the `size` first in an order hashed anew for each draw, as a_, b_, x_, y_.
+def together(objects: DataFrame, scope: list[str]) -> DataFrame:
+    """A row a scope with `seen`, its objects by rank; a scope holds what one pose shows, or a scene's focus objects."""
+    return objects.groupBy(*scope).agg(F.sort_array(F.collect_list(F.struct("rank", *KEEP[:-1]))).alias("seen"))
+
+
+def _ordered(objects: Column, u: Callable[[Column], Column], most: int) -> Column:
+    """The first so many objects by their hashed number, then rank."""
+    return F.transform(F.slice(F.sort_array(F.transform(objects, lambda o: F.struct(u(o).alias("u"), o["rank"].alias("rank"), o.alias("o")))), 1, most), lambda x: x["o"])
+
+
+def _roles(d: DataFrame, keep: list[str], picks: dict[str, Column]) -> DataFrame:
+    return d.select(*keep, *(o[c].alias(f"{r}_{c}") for r, o in picks.items() for c in KEEP))
+
+
+def drawn(scopes: DataFrame, scope: list[str], channel: str, count: int, keep: list[str], most: int | None = None, apart: float | None = None) -> DataFrame:
+    """draws of scopes with `seen`; with `apart`, the first `most` draws whose x and y are so far apart."""
+    names = [F.col(c) for c in scope]
+    three = F.size("seen") == 3
+    fourth = lambda s, i: F.when(three, s[F.lit((0, 1, 0, 2)[i])]).otherwise(s[F.lit(i)])
+    pick = lambda n: F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda k: F.struct(k.alias("draw"), _ordered(F.col("seen"), lambda o: uniform(channel, *names, k, o["id"]), 4).alias("s")))
+    d = scopes.where(F.size("seen") >= 3)
+    if apart is None:
+        chosen = pick(count)
+    else:
+        center = lambda o: tuple(o[f"c{a}"] for a in "xyz")
+        far = lambda x: g.distance(center(fourth(x["s"], 2)), center(fourth(x["s"], 3))) >= apart
+        d = g.staged(d, {"_first": F.filter(pick(most), far)})
+        chosen = F.when(F.size("_first") >= most, F.col("_first")).otherwise(F.slice(F.filter(pick(count), far), 1, most))
+    d = d.select(*keep, "seen", F.explode(chosen).alias("_d")).withColumn("draw", F.col("_d.draw"))
+    return _roles(d, [*keep, "draw"], {r: fourth(F.col("_d.s"), i) for i, r in enumerate("abxy")})
+
+
+def draws(focus: DataFrame, scope: list[str], channel: str, count: int) -> DataFrame:
+    """`count` samples of distinct objects a scope: the four first in an order hashed anew for each draw, as a_, b_, x_, y_.
 
     With three objects a is shared: x is a, y the third. A scope holds at most the focus objects of a scene.
     """
-    d = focus.withColumn("draw", F.explode(F.sequence(F.lit(0), F.lit(count - 1)))).withColumn("_u", uniform(channel, *(F.col(c) for c in scope), F.col("draw"), F.col("id")))
-    w = Window.partitionBy(*scope, "draw")
-    d = d.withColumn("_k", F.row_number().over(w.orderBy("_u", "rank"))).withColumn("_n", F.count(F.lit(1)).over(w)).where((F.col("_k") <= size) & (F.col("_n") >= 3))
-    at = lambda k: F.max(F.when(F.col("_k") == k, F.struct(*KEEP)))
-    s = d.groupBy(*scope, "draw").agg(*(at(k).alias(f"s{k}") for k in range(1, 5)), F.max("_n").alias("_n"))
-    three = F.col("_n") == 3
-    roles = {"a": F.col("s1"), "b": F.col("s2"), "x": F.when(three, F.col("s1")).otherwise(F.col("s3")), "y": F.when(three, F.col("s3")).otherwise(F.col("s4"))}
-    return s.select(*scope, "draw", *(roles[r][c].alias(f"{r}_{c}") for r in roles for c in KEEP))
+    return drawn(together(focus, scope), scope, channel, count, scope)
+
+
+def pivoted(scopes: DataFrame, scope: list[str], keep: list[str], most: int | None = None, channel: str = "pivot") -> DataFrame:
+    """pivots of scopes with `seen`; the first `most` of a scope, by rank."""
+    names = [F.col(c) for c in scope]
+    others = lambda a: _ordered(F.filter("seen", lambda o: o["id"] != a["id"]), lambda o: uniform(channel, *names, a["id"], o["id"]), 2)
+    chosen = F.filter(F.transform("seen", lambda a: F.struct(a.alias("a"), others(a).alias("o"))), lambda x: F.size(x["o"]) == 2)
+    d = scopes.select(*keep, F.explode(F.slice(chosen, 1, most) if most else chosen).alias("_p"))
+    return _roles(d, keep, {"a": F.col("_p.a"), "b": F.col("_p.o")[0], "x": F.col("_p.o")[1]})
 
 
 def pivots(focus: DataFrame, scope: list[str], channel: str = "pivot") -> DataFrame:
     """For each object of a scope two others, first in hashed order, as a_, b_, x_."""
-    a = focus.select(*scope, *(F.col(c).alias(f"a_{c}") for c in KEEP))
-    o = focus.select(*scope, F.struct(*KEEP).alias("o"))
-    both = a.join(o, scope).where(F.col("o.id") != F.col("a_id")).withColumn("_u", uniform(channel, *(F.col(c) for c in scope), F.col("a_id"), F.col("o.id")))
-    k = F.row_number().over(Window.partitionBy(*scope, "a_id", "a_rank").orderBy("_u", "o.rank"))
-    s = both.withColumn("_k", k).where(F.col("_k") <= 2).groupBy(*scope, *(f"a_{c}" for c in KEEP)).agg(F.max(F.when(F.col("_k") == 1, F.col("o"))).alias("b"), F.max(F.when(F.col("_k") == 2, F.col("o"))).alias("x"))
-    return s.where(F.col("x").isNotNull()).select(*scope, *(f"a_{c}" for c in KEEP), *(F.col(r)[c].alias(f"{r}_{c}") for r in ("b", "x") for c in KEEP))
+    return pivoted(together(focus, scope), scope, scope, None, channel)
 
 
 def first_of_type(rows: DataFrame, scope: list[str], order: list[str], most: int) -> DataFrame:
@@ -257,51 +292,68 @@ def first_of_type(rows: DataFrame, scope: list[str], order: list[str], most: int
 OUT = ["scene_id", "pattern_name", "pose", "stage", "item", "q_ord", "question_type", "question_id", "primary_object", "question", "answer", "answer_type", "answer_text", "answer_value", "mc_source_type", "choices", "object_ranks"]
 
 
-def _shape(d: DataFrame, stage: int, q_ord: Column | int, objects: list[str], kind: str) -> DataFrame:
+def _shape(d: DataFrame, stage: int, q_ord: Column | int, objects: list[str], kind: str, keep: tuple[str, ...] = ()) -> DataFrame:
     missing = {c: F.lit(None).cast(t) for c, t in (("answer_text", "string"), ("answer_value", "double"), ("mc_source_type", "string"), ("choices", "map<string,string>")) if c not in d.columns}
-    return d.withColumns(missing).withColumns({"stage": F.lit(stage), "q_ord": F.lit(q_ord) if isinstance(q_ord, int) else q_ord, "answer_type": F.lit(kind), "primary_object": F.col("a_id"), "object_ranks": F.array(*(F.col(f"{r}_rank") for r in objects))}).select(OUT)
+    return d.withColumns(missing).withColumns({"stage": F.lit(stage), "q_ord": F.lit(q_ord) if isinstance(q_ord, int) else q_ord, "answer_type": F.lit(kind), "primary_object": F.col("a_id"), "object_ranks": F.array(*(F.col(f"{r}_rank") for r in objects))}).select(*OUT, *keep)
 
 
-def for_poses(focus: DataFrame, pairs: DataFrame, single_poses: DataFrame, pair_poses: DataFrame, multi_poses: DataFrame, cfg: Questions | None = None, seen: DataFrame | None = None) -> DataFrame:
+SCOPE = ["scene_id", "pattern_name", "pose"]
+
+
+def for_poses(focus: DataFrame, pairs: DataFrame, single_poses: DataFrame, pair_poses: DataFrame, multi_poses: DataFrame, cfg: Questions | None = None, seen: DataFrame | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """All questions: singles and pairs on their poses, samples on the scene's; poses are (scene_id, pattern_name, pose, item, …).
 
-    `seen` has the objects that each pose's samples are drawn from, all of the scene's unless it is given. Types that are not
-    enabled leave the plan on the driver.
+    `seen` has the objects that each pose's samples are drawn from, all of the scene's unless it is given. `keep` names
+    columns of the poses (and of `seen`), the same for all rows of a pose, that go along.
     """
-    cfg = cfg or Questions()
-    on = set(cfg.enabled_question_types)
-    scope = ["scene_id", "pattern_name", "pose"]
-    pose = ["pattern_name", "pose", "px", "py", "pz", "yaw", "pitch"]
+    pose = ["pattern_name", "pose", "px", "py", "pz", "yaw", "pitch", *keep]
     a = focus.select("scene_id", F.col("rank").alias("item"), *(F.col(c).alias(f"a_{c}") for c in KEEP))
     s = a.join(single_poses.select("scene_id", "item", *pose), ["scene_id", "item"])
     p = pairs.withColumn("item", F.col("pair_ord")).join(pair_poses.select("scene_id", "item", *pose), ["scene_id", "item"])
+    if seen is None:
+        scopes = multi_poses.dropDuplicates(SCOPE).select(*SCOPE, *keep).join(together(focus, ["scene_id"]), "scene_id")
+    else:
+        scopes = together(seen, [*SCOPE, *keep])
+    return of_rows(s, p, scopes, cfg, keep)
+
+
+def of_rows(s: DataFrame, p: DataFrame, scopes: DataFrame, cfg: Questions | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """All questions on single objects (a_ and a pose), pairs (a_, b_ and a pose) and poses with `seen`.
+
+    Types that are not enabled leave the plan on the driver.
+    """
+    cfg = cfg or Questions()
+    on, scope = set(cfg.enabled_question_types), SCOPE
     dim = F.array_position(F.array(*(F.lit(x) for x in DIMENSIONS)), F.col("dim")).cast("int")
+    shape = lambda *x: _shape(*x, keep)
     parts = []
     if "object_size" in on:
-        parts.append(_shape(object_size(s), 0, dim, ["a"], "numerical"))
+        parts.append(shape(object_size(s), 0, dim, ["a"], "numerical"))
     if "object_distance_to_camera" in on:
-        parts.append(_shape(distance_to_camera(s), 0, 10, ["a"], "numerical"))
+        parts.append(shape(distance_to_camera(s), 0, 10, ["a"], "numerical"))
     if "mc" in on:
-        parts += [_shape(multiple_choice(object_size(s), scope), 0, dim + 20, ["a"], "mc"), _shape(multiple_choice(distance_to_camera(s), scope), 0, 30, ["a"], "mc")]
+        parts += [shape(multiple_choice(object_size(s), scope), 0, dim + 20, ["a"], "mc"), shape(multiple_choice(distance_to_camera(s), scope), 0, 30, ["a"], "mc")]
     for k, (name, f) in enumerate((("object_size_comparison_relative", size_ratio), ("object_size_comparison_absolute", size_absolute), ("object_pair_distance_center", pair_distance), ("object_pair_distance_center_w_size", pair_distance_sized), ("object_pair_distance_vector", pair_vector))):
         if name in on:
             made = f(p)
-            parts.append(_shape(made, 1, dim + 10 * k if "dim" in made.columns else 10 * k, ["a", "b"], "numerical"))
+            parts.append(shape(made, 1, dim + 10 * k if "dim" in made.columns else 10 * k, ["a", "b"], "numerical"))
     if "relative_size" in on:
-        parts.append(_shape(relative_size(p, scope), 1, 50, ["a", "b"], "mc"))
+        parts.append(shape(relative_size(p, scope), 1, 50, ["a", "b"], "mc"))
     if "relative_distance_to_camera" in on:
-        parts.append(_shape(relative_distance_to_camera(p, scope), 1, 60, ["a", "b"], "mc"))
+        parts.append(shape(relative_distance_to_camera(p, scope), 1, 60, ["a", "b"], "mc"))
     if "mc" in on:
-        parts.append(_shape(multiple_choice(pair_distance(p), scope), 1, 70, ["a", "b"], "mc"))
+        parts.append(shape(multiple_choice(pair_distance(p), scope), 1, 70, ["a", "b"], "mc"))
     k = cfg.max_questions_per_type
-    if seen is None:
-        seen = focus.join(multi_poses.select("scene_id", *pose).distinct(), "scene_id")
-    for name, f, order in (("object_comparison_absolute_distance", multi_absolute, 0), ("object_comparison_relative_distance", multi_ratio, 100)):
-        if name in on:
-            parts.append(first_of_type(_shape(f(draws(seen, scope, name, 2 * k)).withColumn("item", F.col("draw")), 2, F.lit(order) + F.col("draw"), ["a", "b", "x", "y"], "numerical"), scope, ["q_ord"], k))
+    own = [*scope, *keep]
+    if "object_comparison_absolute_distance" in on:
+        made = multi_absolute(drawn(scopes, scope, "object_comparison_absolute_distance", k, own)).withColumn("item", F.col("draw"))
+        parts.append(shape(made, 2, F.col("draw"), ["a", "b", "x", "y"], "numerical"))
+    if "object_comparison_relative_distance" in on:
+        made = multi_ratio(drawn(scopes, scope, "object_comparison_relative_distance", 2 * k, own, k, 0.01)).withColumn("item", F.col("draw"))
+        parts.append(shape(made, 2, F.lit(100) + F.col("draw"), ["a", "b", "x", "y"], "numerical"))
     if "relative_distance" in on:
-        made = relative_distance(pivots(seen, scope), scope).withColumn("item", F.col("a_rank"))
-        parts.append(first_of_type(_shape(made, 2, F.lit(200) + F.col("a_rank"), ["a", "b", "x"], "mc"), scope, ["q_ord"], k))
+        made = relative_distance(pivoted(scopes, scope, own, k), scope).withColumn("item", F.col("a_rank"))
+        parts.append(shape(made, 2, F.lit(200) + F.col("a_rank"), ["a", "b", "x"], "mc"))
     if not parts:
         raise ValueError("no question type is enabled")
     return reduce(DataFrame.unionByName, parts)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from roomweave.config import Cameras, Pipeline, Questions, Selection
 from roomweave.operators import cameras, questions, scenes, selection, visibility
-from roomweave.session import durable
+from roomweave.session import durable, spread, written
 
 BOX = [f"{a}{n}" for a in "xyz" for n in (0, 1)]
 
@@ -23,18 +23,18 @@ def rotation_questions(labels: DataFrame, structure: DataFrame, camera: Cameras
     boxes = scenes.all_objects(labels, structure)
     turned = cameras.rotation_poses(scenes.room_centers(structure), boxes, camera)
     poses = cameras.dense_index(turned, ["px", "py", "pz", "tx", "ty", "tz"], ["scene_id"], ["room_idx", "angle_idx"], "pose")
-    poses = durable(poses.withColumns({"pattern_name": F.lit("rotation"), "room": F.concat(F.lit("room_"), F.col("room_idx").cast("string"))}))
-    view = ["pattern_name", "pose", *cameras.POSE]
-    shown = durable(visibility.visible_objects(poses.select("scene_id", *view), objects.select("scene_id", "rank", "id", *BOX), camera))
-    single = shown.select("scene_id", F.col("rank").alias("item"), *view)
-    a, b = (shown.select("scene_id", "pose", F.col("rank").alias(f"{x}_rank")) for x in "ab")
-    pairs = selection.joined(objects, "rank", questions.KEEP)
-    pairs = durable(pairs.withColumn("pair_ord", F.xxhash64("a_rank", "b_rank")))
-    both = a.join(b, ["scene_id", "pose"]).where(F.col("a_rank") < F.col("b_rank")).withColumn("item", F.xxhash64("a_rank", "b_rank"))
-    pair = both.join(poses.select("scene_id", *view), ["scene_id", "pose"]).select("scene_id", "item", *view)
-    seen = objects.join(shown.select("scene_id", "rank", *view), ["scene_id", "rank"])
-    made = questions.for_poses(objects, pairs, single, pair, poses, question, seen)
-    return made.join(poses.select("scene_id", "pose", "room", F.col("yaw").alias("camera_yaw")), ["scene_id", "pose"]).withColumn("camera_pose_idx", F.col("pose"))
+    poses = poses.withColumns({"pattern_name": F.lit("rotation"), "room": F.concat(F.lit("room_"), F.col("room_idx").cast("string")), "camera_yaw": F.col("yaw")})
+    keep = ("room", "camera_yaw")
+    view = ["scene_id", "pattern_name", "pose", *cameras.POSE, *keep]
+    shown = visibility.visible_objects(spread(poses.select(view), "scene_id"), objects.select("scene_id", *questions.KEEP, *BOX), camera)
+    # A row a pose with what it shows: all questions are made within it, without a further join.
+    posed = written(questions.together(shown, view))
+    side = lambda o, x: [o[c].alias(f"{x}_{c}") for c in questions.KEEP]
+    first = posed.select("*", F.posexplode("seen").alias("_at", "_a"))
+    single = first.select(*view, F.col("_a.rank").alias("item"), *side(F.col("_a"), "a"))
+    both = first.select(*view, "_a", F.explode(F.slice("seen", F.col("_at") + 2, F.size("seen"))).alias("_b"))
+    pair = both.select(*view, F.xxhash64("_a.rank", "_b.rank").alias("item"), *side(F.col("_a"), "a"), *side(F.col("_b"), "b"))
+    return questions.of_rows(single, pair, posed, question, keep).withColumn("camera_pose_idx", F.col("pose"))
 
 
 def object_questions(labels: DataFrame, structure: DataFrame, pattern: str, camera: Cameras | None = None, question: Questions | None = None, select: Selection | None = None) -> DataFrame:

@@ -28,6 +28,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows by key in a set number of tasks, where the work on them isn't seen in their bytes."""
+    spark = df.sparkSession
+    tasks = 4 * max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4)
+    return df.repartition(tasks, key)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder of spark.checkpoint.dir, which all executors see.
 

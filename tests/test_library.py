@@ -32,3 +32,11 @@ def test_rotation_run(spark, small):
     cfg = Pipeline(scene_list=[scene], max_questions_per_scene=40, camera_sampling=Cameras(move_pattern="rotation", rotation_interval=60.0), question_config=Questions(enabled_question_types=("object_size", "relative_distance", "object_pair_distance_center")))
     rows = library.run(labels, structure, cfg).collect()
     assert 0 < len(rows) <= 40 and {r.scene_id for r in rows} == {scene} and all(r.room.startswith("room_") and r.camera_yaw % 60 == 0 for r in rows)
+
+
+def test_questions_of_a_pose_need_no_shuffle(spark, small):
+    """Once it is known what each pose shows, no row of a question leaves its task."""
+    labels, structure = (spark.read.parquet(f"{small}/{t}.parquet").where("scene_id < '1000'") for t in ("scene_labels", "scene_structure"))
+    made = library.rotation_questions(labels, structure, Cameras(rotation_interval=120.0))
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan and "Scan parquet" in plan
