@@ -38,11 +38,11 @@ def generate(labels: DataFrame, structure: DataFrame, patterns: tuple = PATTERNS
     parts = []
     for pattern, count, sub in patterns:
         poses = durable(poses_of(pattern, count, sub, items, scene_ids, structure, boxes, hiding, camera).withColumn("pattern_name", F.lit(pattern)))
+        each = poses.dropDuplicates(["scene_id", "pose"]).select("scene_id", "pose", F.struct(*cameras.POSE, "target_labels").alias("camera"))
+        poses = durable(poses.join(each, ["scene_id", "pose"]))  # the pose of a question's number goes along, so that questions meet nothing further
         single, pair = cameras.singles(poses), cameras.of_pairs(poses)
         multi = poses if pattern == "rotation" else poses.where(F.col("pose") < 3 * count)
-        made = questions.for_poses(chosen, pairs, single, pair, multi, question)
-        each = poses.dropDuplicates(["scene_id", "pose"]).select("scene_id", "pattern_name", "pose", *cameras.POSE, "target_labels")
-        parts.append(made.join(each, ["scene_id", "pattern_name", "pose"]))
+        parts.append(questions.for_poses(chosen, pairs, single, pair, multi, question, keep=("camera",)))
     made = parts[0]
     for p in parts[1:]:
         made = made.unionByName(p)
@@ -51,7 +51,7 @@ def generate(labels: DataFrame, structure: DataFrame, patterns: tuple = PATTERNS
     volume = selection.measures()["volume"]
     body = F.struct("id", "label", F.array("cx", "cy", "cz").alias("center"), F.array("dx", "dy", "dz").alias("dims"), F.array("x0", "y0", "z0").alias("aabb_min"), F.array("x1", "y1", "z1").alias("aabb_max"), "room_index", volume.alias("volume"))
     known = chosen.select("scene_id", F.struct("rank", body.alias("o")).alias("r")).groupBy("scene_id").agg(F.map_from_entries(F.collect_list("r")).alias("known"))  # the focus objects of a scene
-    out = made.join(known, "scene_id").withColumn("objects", F.transform("object_ranks", lambda r: F.col("known")[r]))
+    out = made.select("*", "camera.*").drop("camera").join(known, "scene_id").withColumn("objects", F.transform("object_ranks", lambda r: F.col("known")[r]))
     return out.withColumn("camera_pose", cameras.pose_struct(F.col("target_labels"))).withColumn("camera_pose_idx", F.col("pose")).drop("known", "object_ranks", "target_labels", *cameras.POSE)
 
 

@@ -136,3 +136,12 @@ def test_generation_invariants(spark, small):
     for r in one:
         poses.setdefault(r.scene_id, set()).add(r.camera_pose_idx)
     assert all(p == set(range(len(p))) for p in poses.values())
+
+
+def test_generated_questions_need_no_windows(spark, small):
+    """Samples are drawn within a pose's row; no row of a question is sorted by draw or pose."""
+    from roomweave.plans import generate
+
+    labels, structure = (spark.read.parquet(f"{small}/{t}.parquet").limit(60) for t in ("scene_labels", "scene_structure"))
+    made = generate.generate(labels, structure, patterns=(("rotation", 2, None),))
+    assert "Window" not in made._jdf.queryExecution().executedPlan().toString()
