@@ -14,13 +14,16 @@ import numpy as np
 import pyarrow as pa
 
 from roomweave.config import Cameras
+from roomweave.operators import reach
 
 SCHEMA = "scene_id string, item bigint, attempt int"
 ARROW = pa.schema([("scene_id", pa.string()), ("item", pa.int64()), ("attempt", pa.int32())])
-#: Scenes looked at together, and attempts whose digests are made together: within a core's cache.
-SCENES, DIGESTS = 8, 16384
+#: Scenes looked at together, and attempts whose digests are made and cameras that are tested for walls together: within a core's cache.
+SCENES, DIGESTS, PLACES = 32, 16384, 8192
 #: Attempts of an item in one round at most.
 ROUND = 2000
+#: Attempts of an item before it is asked which ones can be accepted at all; pixels at the image's edge where no centre counts.
+LOOK, BORDER = 100, 5
 INF = 1e300
 
 _SHIFTS = ([7, 12, 17, 22] * 4, [5, 9, 14, 20] * 4, [4, 11, 16, 23] * 4, [6, 10, 15, 21] * 4)
@@ -67,26 +70,27 @@ def _digest(words: list) -> tuple[np.ndarray, np.ndarray]:
     return state[0], state[1]
 
 
-def uniform(prefixes: list[bytes], who: np.ndarray, attempt: np.ndarray) -> np.ndarray:
-    """The numbers of cameras.uniform: prefixes[who] and the attempt make a name."""
+def uniform(prefixes: tuple[np.ndarray, np.ndarray], who: np.ndarray, attempt: np.ndarray) -> np.ndarray:
+    """The numbers of cameras.uniform: prefix `who` (its bytes in a row, and their number) and the attempt make a name."""
     out = np.empty(len(who))
-    sizes = np.array([len(p) for p in prefixes], int)[who] * 32 + np.searchsorted(10 ** np.arange(1, 18), attempt, side="right") + 1
+    texts, lengths = prefixes
+    sizes = lengths[who] * 32 + np.searchsorted(10 ** np.arange(1, 18), attempt, side="right") + 1
     for kind in np.flatnonzero(np.bincount(sizes)):
         of = np.flatnonzero(sizes == kind)
         start, digits = divmod(int(kind), 32)
         blocks = (start + digits + 9 + 63) // 64
-        base = np.zeros((len(prefixes), 64 * blocks), np.uint8)
-        for row, p in zip(base, prefixes, strict=True):
-            if len(p) == start:
-                row[:start] = np.frombuffer(p, np.uint8)
+        mine = lengths == start
+        base = np.zeros((np.count_nonzero(mine), 64 * blocks), np.uint8)
+        base[:, :start] = texts[mine, :start]
         base[:, start + digits] = 0x80
         base[:, -8:] = np.frombuffer((8 * (start + digits)).to_bytes(8, "little"), np.uint8)
-        base = np.ascontiguousarray(base.view("<u4")[[len(p) == start for p in prefixes]].T)
-        row_of = np.cumsum([len(p) == start for p in prefixes]) - 1
+        base = np.ascontiguousarray(base.view("<u4").T)
+        same = [(column == column[0]).all() for column in base]
+        row_of = np.cumsum(mine) - 1
         for k in range(0, len(of), DIGESTS):
             part = of[k : k + DIGESTS]
             w, at = row_of[who[part]], attempt[part].astype(np.uint32)
-            words = [column[0] if (column == column[0]).all() else column[w] for column in base]
+            words = [column[0] if one else column[w] for column, one in zip(base, same, strict=True)]
             for j in reversed(range(digits)):
                 at, digit = np.divmod(at, np.uint32(10))
                 place = start + j
@@ -96,6 +100,12 @@ def uniform(prefixes: list[bytes], who: np.ndarray, attempt: np.ndarray) -> np.n
     return out
 
 
+def _texts(names: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Names as bytes, a row each, and their lengths."""
+    rows = np.array(names)
+    return rows.view(np.uint8).reshape(len(names), -1), np.array([len(n) for n in names])
+
+
 class Scene:
     """A scene's items (target boxes as arrays) and what stands in the way."""
 
@@ -119,6 +129,11 @@ class Scene:
         ids = [o["id"] for o in others]
         self.foreign = np.array([[[t < len(i["targets"]) and x is not None and x != i["targets"][t]["id"] for x in ids] for t in range(most)] for i in row["items"]], bool).reshape(len(self.items), most, len(ids))
 
+    def walls(self) -> tuple[np.ndarray, np.ndarray]:
+        """Walls, and which of them count for (item, target): those that overlap the target much don't."""
+        walls = self.others[self.is_wall]
+        return walls, self.foreign[..., self.is_wall] & (_overlap(self.target, walls) <= 0.3)
+
     @staticmethod
     def _edges(polygon: list) -> np.ndarray:
         at = lambda p, i: p[i] if p is not None and len(p) > i and p[i] is not None else np.nan
@@ -150,6 +165,22 @@ class Scene:
         return left
 
 
+class Together:
+    """Items of several scenes, and the boxes that may hide their targets, in arrays of one size a scene."""
+
+    def __init__(self, scenes: list[Scene], line: bool, cfg: Cameras) -> None:
+        self.scenes = scenes
+        self.home = np.repeat(np.arange(len(scenes)), [len(s.items) for s in scenes])
+        self.place = np.concatenate([np.arange(len(s.items)) for s in scenes])
+        self.aim = np.concatenate([s.aim for s in scenes])
+        self.targets = np.concatenate([s.targets for s in scenes])
+        self.target = reach.padded([s.target for s in scenes], 2)[self.home, self.place]
+        self.full = not line and not cfg.skip_occlusion_check
+        walls = [(s.others, s.foreign) if self.full else s.walls() for s in scenes]
+        self.others = reach.padded([w for w, _ in walls], 1)
+        self.counts = reach.padded([c for _, c in walls], 3, False)[self.home, self.place]
+
+
 def _view(p: np.ndarray, t: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(right, up, forward) of cameras at p that look at t, as geometry.with_view has them."""
     rel = t - p
@@ -164,9 +195,9 @@ def _view(p: np.ndarray, t: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndar
     return right, up, f
 
 
-def _points(box: np.ndarray) -> list[np.ndarray]:
-    """The eight corners, x slowest, z fastest."""
-    return [np.stack([box[:, i], box[:, j], box[:, k]], axis=1) for i in (0, 3) for j in (1, 4) for k in (2, 5)]
+def _corner(box: np.ndarray, q: int) -> np.ndarray:
+    """One of the eight corners, x slowest, z fastest."""
+    return box[:, [3 * (q >> 2 & 1), 3 * (q >> 1 & 1) + 1, 3 * (q & 1) + 2]]
 
 
 def _placed(point: np.ndarray, p: np.ndarray, view: tuple, cfg: Cameras) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -185,19 +216,19 @@ def _in_image(u: np.ndarray, v: np.ndarray, cfg: Cameras, border: float) -> np.n
 
 
 def _blocked(p: np.ndarray, point: np.ndarray, others: np.ndarray, counts: np.ndarray, eps: float = 1e-3) -> np.ndarray:
-    """Whether one of the boxes that count stands between p and point, as geometry.blocks has it."""
+    """Whether one of the boxes (place, box, side) that count stands between p and point, as geometry.blocks has it."""
     rel = point - p
     far = np.sqrt(rel[:, 0] * rel[:, 0] + rel[:, 1] * rel[:, 1] + rel[:, 2] * rel[:, 2])
     d = rel / far[:, None]
-    first = np.full((len(p), len(others)), -np.inf)
+    first = np.full(counts.shape, -np.inf)
     last, out = -first, ~counts
     for k in range(3):
         flat, o = np.abs(d[:, k]) < 1e-12, p[:, k, None]
-        t1, t2 = (others[:, k] - o) * (1.0 / d[:, k])[:, None], (others[:, k + 3] - o) * (1.0 / d[:, k])[:, None]
+        t1, t2 = (others[..., k] - o) * (1.0 / d[:, k])[:, None], (others[..., k + 3] - o) * (1.0 / d[:, k])[:, None]
         low, high = np.minimum(t1, t2), np.maximum(t1, t2)
         if flat.any():
             low[flat], high[flat] = -INF, INF
-            out = out | (flat[:, None] & ((o < others[:, k]) | (o > others[:, k + 3])))
+            out = out | (flat[:, None] & ((o < others[..., k]) | (o > others[..., k + 3])))
         np.maximum(first, low, out=first)
         np.minimum(last, high, out=last)
     far = far[:, None]
@@ -214,60 +245,79 @@ def _overlap(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.where((sides <= 0).any(axis=-1), 0.0, ratio)
 
 
-def _shows(scene: Scene, who: np.ndarray, p: np.ndarray, t: np.ndarray, line: bool, cfg: Cameras) -> np.ndarray:
+def _shows(of: Together, who: np.ndarray, p: np.ndarray, t: np.ndarray, line: bool, cfg: Cameras) -> np.ndarray:
     """Which cameras (indices) show all targets of their items."""
-    left, border = np.arange(len(who)), 0 if line else 5
+    left, border = np.arange(len(who)), 0 if line else BORDER
     right, up, forward = _view(p, t)
-    for k in range(scene.target.shape[1]):
-        has = scene.targets[who[left]] > k
+    for k in range(of.target.shape[1]):
+        has = of.targets[who[left]] > k
         some, rest = left[has], left[~has]
-        box = scene.target[who[some], k]
         if not line:
+            box = of.target[who[some], k]
             u, v, _ = _placed((box[:, :3] + box[:, 3:]) * 0.5, p[some], (right[some], up[some], forward[some]), cfg)
             some = some[_in_image(u, v, cfg, border)]
-            box = scene.target[who[some], k]
-        view, seen = (right[some], up[some], forward[some]), np.zeros(len(some), bool)
-        for q in _points(box):
-            u, v, _ = _placed(q, p[some], view, cfg)
-            seen |= _in_image(u, v, cfg, border)
-        left = np.sort(np.concatenate([some[seen], rest]))
-    full = not line and not cfg.skip_occlusion_check
-    if not len(left) or not (full or cfg.check_wall_occlusion):
+        for q in range(8):
+            u, v, _ = _placed(_corner(of.target[who[some], k], q), p[some], (right[some], up[some], forward[some]), cfg)
+            seen = _in_image(u, v, cfg, border)
+            some, rest = some[~seen], np.concatenate([rest, some[seen]])
+        left = np.sort(rest)
+    if not (of.full or cfg.check_wall_occlusion):
         return left
-    others = scene.others if full else scene.others[scene.is_wall]
-    counts = scene.foreign if full else scene.foreign[..., scene.is_wall] & (_overlap(scene.target, others) <= 0.3)
-    for k in range(scene.target.shape[1]):
-        has = scene.targets[who[left]] > k
+    return np.concatenate([left[:0], *(_unhidden(of, left[k : k + PLACES], who, p, (right, up, forward), line, cfg) for k in range(0, len(left), PLACES))])
+
+
+def _unhidden(of: Together, left: np.ndarray, who: np.ndarray, p: np.ndarray, view: tuple, line: bool, cfg: Cameras) -> np.ndarray:
+    for k in range(of.target.shape[1]):
+        has = of.targets[who[left]] > k
         some, rest = left[has], left[~has]
-        if full:
-            box, free = scene.target[who[some], k], np.zeros(len(some), int)
-            for q in _points(box):
-                u, v, _ = _placed(q, p[some], (right[some], up[some], forward[some]), cfg)
-                free += _in_image(u, v, cfg, 2) & ~_blocked(p[some], q, others, counts[who[some], k])
+        if of.full:
+            box, others, counts = of.target[who[some], k], of.others[of.home[who[some]]], of.counts[who[some], k]
+            free = np.zeros(len(some), int)
+            for q in range(8):
+                u, v, _ = _placed(_corner(box, q), p[some], tuple(a[some] for a in view), cfg)
+                free += _in_image(u, v, cfg, 2) & ~_blocked(p[some], _corner(box, q), others, counts)
             some = some[free >= cfg.min_visible_corners]
-        elif len(others):
-            box = scene.target[who[some], k]
-            some = some[~_blocked(p[some], (box[:, :3] + box[:, 3:]) / 2, others, counts[who[some], k])]
+        else:
+            box = of.target[who[some], k]
+            some = some[~_blocked(p[some], (box[:, :3] + box[:, 3:]) / 2, of.others[of.home[who[some]]], of.counts[who[some], k])]
+            box, others, counts = of.target[who[some], k], of.others[of.home[who[some]]], of.counts[who[some], k]
             hidden = np.zeros(len(some), int)
-            for q in _points(scene.target[who[some], k]):
-                hidden += _blocked(p[some], q, others, counts[who[some], k])
+            for q in range(8):
+                hidden += _blocked(p[some], _corner(box, q), others, counts)
             some = some[hidden / 9.0 < (0.7 if line else 0.5)]
         left = np.sort(np.concatenate([some, rest]))
     return left
 
 
-def _tried(pattern: str, aim: np.ndarray, u: Callable[[str, np.ndarray], np.ndarray], cfg: Cameras) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Attempts at an allowed height (indices), their places and what they look at, (attempt, step, axis) each."""
+def _tried(pattern: str, aim: np.ndarray, u: Callable[[str, np.ndarray], np.ndarray], cfg: Cameras, cells: tuple[tuple[np.ndarray, np.ndarray], np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Attempts at an allowed height (indices), their places and what they look at, (attempt, step, axis) each.
+
+    cells has the cells where attempts can be accepted (see reach), and which of them an attempt has; others are left out, as
+    soon as the numbers made so far tell.
+    """
     every, span = np.arange(len(aim)), cfg.max_distance - cfg.min_distance
     if pattern == "around":
         every = np.flatnonzero((aim[:, 3] >= cfg.min_camera_height) & (aim[:, 3] <= cfg.max_camera_height))
         yaw, radius, aim = np.radians(u("yaw", every) * 360.0), cfg.min_distance + u("radius", every) * span, aim[every]
         p = np.stack([aim[:, 0] + radius * np.cos(yaw), aim[:, 1] + radius * np.sin(yaw), aim[:, 3]], axis=1)
     elif pattern == "spherical":
-        radius, cosphi = cfg.min_distance + u("radius", every) * span, u("phi", every) * 2.0 - 1.0
-        z = aim[:, 2] + radius * cosphi
-        every = np.flatnonzero((z >= cfg.min_camera_height) & (z <= cfg.max_camera_height))
-        radius, cosphi, z, aim, theta = radius[every], cosphi[every], z[every], aim[every], u("theta", every) * (2 * 3.141592653589793)
+        phi = u("phi", every)
+        if cells:
+            (any_side, live), slot = cells
+            every = np.flatnonzero(any_side.any(axis=1)[slot, _bin(phi, live.shape[2])])
+        radius = u("radius", every)
+        if cells:
+            some = any_side[slot[every], _bin(radius, live.shape[1]), _bin(phi[every], live.shape[2])]
+            every, radius = every[some], radius[some]
+        r, cosphi = cfg.min_distance + radius * span, phi[every] * 2.0 - 1.0
+        z = aim[every, 2] + r * cosphi
+        high = np.flatnonzero((z >= cfg.min_camera_height) & (z <= cfg.max_camera_height))
+        every, radius = every[high], radius[high]
+        theta = u("theta", every)
+        if cells:
+            some = np.flatnonzero(live[slot[every], _bin(radius, live.shape[1]), _bin(phi[every], live.shape[2]), _bin(theta, live.shape[3])])
+            every, theta, high = every[some], theta[some], high[some]
+        radius, cosphi, z, aim, theta = r[high], cosphi[high], z[high], aim[every], theta * (2 * 3.141592653589793)
         flat = radius * np.sqrt(1.0 - cosphi * cosphi)
         p = np.stack([aim[:, 0] + flat * np.cos(theta), aim[:, 1] + flat * np.sin(theta), z], axis=1)
     else:
@@ -288,41 +338,53 @@ def _tried(pattern: str, aim: np.ndarray, u: Callable[[str, np.ndarray], np.ndar
     return every, p[:, None, :], aim[:, None, :3]
 
 
+def _bin(u: np.ndarray, n: int) -> np.ndarray:
+    return (u * n).astype(np.int64)
+
+
 def _rounds(limit: int) -> Iterator[tuple[int, int]]:
     """Few attempts first, as most items need few; names of one round are mostly of one length."""
-    first, last = 0, 10
+    first, last, next_ = 0, 10, 30
     while first < limit:
         yield first, min(last, limit)
-        first, last = last, min(last * 10, last + ROUND)
+        first, last, next_ = last, min(next_, last + ROUND), last * 10
 
 
 def accepted(scenes: list[Scene], pattern: str, wanted: int, limit: int, seed: int, cfg: Cameras) -> list[tuple[str, int, int]]:
     """(scene_id, item, attempt): the first `wanted` accepted attempts of every item."""
-    of = np.repeat(np.arange(len(scenes)), [len(s.items) for s in scenes])
-    place = np.concatenate([np.arange(len(s.items)) for s in scenes])
-    aim = np.concatenate([s.aim for s in scenes])
-    names = {c: [f"{seed}:{c}:{pattern}:{s.scene_id}:{i}:".encode() for s in scenes for i in s.items] for c in ("yaw", "radius", "theta", "phi", "angle")}
-    found: list[list[int]] = [[] for _ in of]
-    still = np.arange(len(of))
+    of = Together(scenes, pattern == "linear", cfg)
+    names = {c: _texts([f"{seed}:{c}:{pattern}:{s.scene_id}:{i}:".encode() for s in scenes for i in s.items]) for c in ("yaw", "radius", "theta", "phi", "angle")}
+    found: list[list[int]] = [[] for _ in of.home]
+    still, cells, slot = np.arange(len(of.home)), None, np.zeros(len(of.home), int)
     for first, last in _rounds(limit):
+        if pattern == "spherical" and cells is None and first >= LOOK:
+            none = still[[not found[i] for i in still]]
+            slot[none] = np.arange(1, len(none) + 1)
+            cells = reach.live(of, none, cfg, BORDER)
+            still = still[cells[0].any(axis=(1, 2))[slot[still]]]
+            if not len(still):
+                break
         who, attempt = np.repeat(still, last - first), np.tile(np.arange(first, last), len(still))
-        kept, p, t = _tried(pattern, aim[who], lambda c, rows: uniform(names[c], who[rows], attempt[rows]), cfg)  # noqa: B023
-        who, attempt = who[kept], attempt[kept]
-        for k in np.unique(of[who]):
-            mine, steps = np.flatnonzero(of[who] == k), p.shape[1]
-            ok = np.zeros(len(mine) * steps, bool)
-            ok[scenes[k].valid(p[mine].reshape(-1, 3), cfg)] = True
-            mine = mine[ok.reshape(-1, steps).all(axis=1)]
-            shown = np.zeros(len(mine) * steps, bool)
-            with np.errstate(all="ignore"):
-                shown[_shows(scenes[k], np.repeat(place[who[mine]], steps), p[mine].reshape(-1, 3), t[mine].reshape(-1, 3), pattern == "linear", cfg)] = True
-            for i in mine[shown.reshape(-1, steps).all(axis=1)]:
-                if len(found[who[i]]) < wanted:
-                    found[who[i]].append(int(attempt[i]))
+        kept, p, t = _tried(pattern, of.aim[who], lambda c, rows: uniform(names[c], who[rows], attempt[rows]), cfg, None if cells is None else (cells, slot[who]))  # noqa: B023
+        home, steps = of.home[who[kept]], p.shape[1]
+        ok = np.zeros((len(kept), steps), bool)
+        for k in np.unique(home):
+            mine = np.flatnonzero(home == k)
+            good = np.zeros(len(mine) * steps, bool)
+            good[scenes[k].valid(p[mine].reshape(-1, 3), cfg)] = True
+            ok[mine] = good.reshape(-1, steps)
+        ok = ok.all(axis=1)
+        who, attempt, p, t = who[kept[ok]], attempt[kept[ok]], p[ok].reshape(-1, 3), t[ok].reshape(-1, 3)
+        shown = np.zeros(len(p), bool)
+        with np.errstate(all="ignore"):
+            shown[_shows(of, np.repeat(who, steps), p, t, pattern == "linear", cfg)] = True
+        for i in np.flatnonzero(shown.reshape(-1, steps).all(axis=1)):
+            if len(found[who[i]]) < wanted:
+                found[who[i]].append(int(attempt[i]))
         still = still[[len(found[i]) < wanted for i in still]]
         if not len(still):
             break
-    return [(scenes[of[i]].scene_id, scenes[of[i]].items[place[i]], a) for i in range(len(of)) for a in found[i]]
+    return [(scenes[of.home[i]].scene_id, scenes[of.home[i]].items[of.place[i]], a) for i in range(len(of.home)) for a in found[i]]
 
 
 def of_batches(pattern: str, wanted: int, limit: int, seed: int, cfg: Cameras) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:

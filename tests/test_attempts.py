@@ -1,10 +1,12 @@
 """Attempts by arrays against the plans of visibility, and what hopeless items cost."""
 
+import dataclasses
+
 import pytest
 from pyspark.sql import functions as F
 
-from roomweave.config import Cameras
-from roomweave.operators import cameras, scenes, selection, visibility
+from roomweave.config import MAIN_CAMERAS, Cameras
+from roomweave.operators import attempts, cameras, scenes, selection, visibility
 from roomweave.plans import generate
 
 TRIES = 60
@@ -57,3 +59,28 @@ def test_hopeless_items_need_no_further_jobs(spark):
         assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("hopeless")) < 20
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+@pytest.mark.parametrize("given", [{}, {"skip_occlusion_check": False}, {"check_wall_occlusion": False}, {"image_width": 640, "image_height": 480, "max_distance": 2.5}])
+def test_cells_leave_out_no_accepted_attempt(spark, small, monkeypatch, given):
+    spark.read.parquet(f"{small}/scene_structure.parquet").createOrReplaceTempView("s")
+    items, boxes, rooms, bounds, occluders = parts(spark, small)
+    cfg = dataclasses.replace(MAIN_CAMERAS, **given)
+    rows = [r.asDict(recursive=True) for r in cameras._by_scene(cameras.aimed(items, cfg), boxes, rooms, bounds, occluders).collect()]
+    with_cells = attempts.accepted([attempts.Scene(r) for r in rows], "spherical", 3, 3000, 42, cfg)
+    monkeypatch.setattr(attempts, "LOOK", 1 << 40)
+    without = attempts.accepted([attempts.Scene(r) for r in rows], "spherical", 3, 3000, 42, cfg)
+    assert with_cells == without and max(a for *_, a in without) >= 100
+
+
+def test_pairs_that_no_place_shows_use_up_few_attempts(monkeypatch):
+    near = {"id": "a", "box": [0.0, 0.0, 0.0, 1.0, 1.0, 1.0]}
+    beside = {"id": "b", "box": [2.6, 0.0, 0.0, 3.6, 1.0, 1.0]}
+    wall = {"id": "wall_0", "is_wall": True, "box": [1.75, -9.0, 0.0, 1.85, 9.0, 2.8]}
+    far = {"id": "c", "box": [0.0, 8.0, 0.0, 1.0, 9.0, 1.0]}
+    item = lambda n, *t: {"item": n, "ox": sum(o["box"][0] + o["box"][3] for o in t) / 4, "oy": sum(o["box"][1] + o["box"][4] for o in t) / 4, "oz": 0.5, "height": 1.2, "targets": list(t)}
+    scene = {"scene_id": "s", "items": [item(0, near, beside), item(1, near, far)], "boxes": [o["box"] for o in (near, beside, wall, far)], "bounds": None, "polygons": None, "occluders": [wall]}
+    made, uniform = [], attempts.uniform
+    monkeypatch.setattr(attempts, "uniform", lambda names, who, attempt: made.append(len(who)) or uniform(names, who, attempt))
+    assert attempts.accepted([attempts.Scene(scene)], "spherical", 3, 3000, 42, MAIN_CAMERAS) == []
+    assert sum(made) < 3 * 2 * 100
